@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from oracle import layers  # noqa: F401  (fills CTES)
+from oracle import cleaning, relational
 from oracle.ctes import with_ctes
 
-ORACLE: dict[str, str] = {}
-for _name in (
+LAYERS = (
     "raw_customers", "raw_products", "raw_stores", "raw_transactions", "stg_customers", "stg_products", "stg_stores",
     "stg_transactions", "intmd_customers", "intmd_products", "intmd_stores", "intmd_transactions",
-):
-    ORACLE[_name] = f"SELECT * FROM {_name}"
+)
 
 
 def oracle() -> dict[str, str]:
-    return {name: with_ctes(sql) for name, sql in ORACLE.items()}
+    """Each query's SQL with the CTEs it needs in front."""
+    sql = {name: f"SELECT * FROM {name}" for name in LAYERS}
+    for family in (cleaning, relational):
+        sql |= family.ORACLE
+    return {name: with_ctes(text) for name, text in sql.items()}

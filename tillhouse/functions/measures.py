@@ -22,6 +22,11 @@ def money_total(c: Column, places: int = 2) -> Column:
     return F.round(c.cast("decimal(34,6)"), places).cast("double")
 
 
+def cents(c: Column) -> Column:
+    """Whole cents: integer sums are exact in whatever order rows arrive."""
+    return F.rint(c * 100).cast("bigint")
+
+
 def negative_to_null(c: Column) -> Column:
     """CLN22: also NULL when the input is NULL."""
     return F.when(c >= 0, c)

@@ -6,13 +6,38 @@ then looks like monthly runs, which gives profiles and watermarks real work.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.context import DEFAULT, RunContext
-from tillhouse.plans import intermediate, staging
+from tillhouse.functions import buckets
+from tillhouse.plans import intermediate, marts, staging
 from tillhouse.sources import standin
 
+FIRST_RUN = RunContext(as_of=dt.date(1998, 12, 31), run_ts=dt.datetime(1998, 12, 31, 6), batch_id="batch-19981231")
+DAYS_BETWEEN_RUNS = (DEFAULT.as_of - FIRST_RUN.as_of).days
+
+
+def first_batch(name: str, now: DataFrame) -> DataFrame:
+    """Master data as of the first run: what existed then, as it was then."""
+    c = F.col
+    if name == "customers":
+        age = c("days_since_registration") - DAYS_BETWEEN_RUNS
+        return now.where(c("registration_date") <= FIRST_RUN.today).withColumns(
+            {"days_since_registration": age, "customer_tenure_category": buckets.tenure_by_days(age)}
+        )
+    if name == "products":
+        young = c("days_since_launch") - DAYS_BETWEEN_RUNS < 180
+        return now.where(c("launch_date") <= FIRST_RUN.today).withColumn(
+            "supplier", F.when(young, "Launch vendor").otherwise(c("supplier"))
+        )
+    young = c("days_since_opening") - DAYS_BETWEEN_RUNS < 1825
+    return now.where(c("opening_date") <= FIRST_RUN.today).withColumn(
+        "manager", F.when(young, "Acting manager").otherwise(c("manager"))
+    )
+
 
 def monthly_run(loaded_at: str) -> Column:
     """When the monthly run after ``loaded_at`` took place."""
@@ -58,3 +83,34 @@ class Warehouse:
 
     def intmd_transactions(self) -> DataFrame:
         return intermediate.refine_transactions(self.stg_transactions(), self.ctx, F.col("staging_processed_at"))
+
+    def dim(self, name: str) -> DataFrame:
+        return marts.load_dimension(name, getattr(self, f"intmd_{name}")(), self.ctx)
+
+    def dim_date(self) -> DataFrame:
+        return marts.dim_date(marts.date_spine(self.spark, marts.CALENDAR_START, marts.CALENDAR_END), self.ctx)
+
+    def sales(self) -> DataFrame:
+        """The fact's own columns, for reports that need no dimension: nothing is looked up."""
+        c = F.col
+        return self.intmd_transactions().select(
+            "transaction_id", "product_id", "customer_id", "store_id", "store_name", "transaction_date", "transaction_year",
+            "transaction_month", "category", "payment_method", "payment_status", "is_refund",
+            c("line_total_clean").alias("line_total"), c("quantity_clean").alias("quantity"),
+        )
+
+    def fact(self) -> DataFrame:
+        return marts.fact_sales(
+            self.intmd_transactions(), self.dim("customers"), self.dim("products"), self.dim("stores"), self.ctx
+        )
+
+    def dim_batches(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """Two dated batches of a dimension: what was known at the end of 1998, and now."""
+        now = getattr(self, f"intmd_{name}")()
+        return first_batch(name, now), now
+
+    def merged_dim(self, name: str) -> DataFrame:
+        """The dimension after both batches."""
+        first, second = self.dim_batches(name)
+        loaded = marts.load_dimension(name, first, FIRST_RUN)
+        return marts.merge_dimension(name, loaded, second, self.ctx)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["layers"]
+MODULES = ["layers", "cleaning", "relational"]
 
 
 def load_all():
