@@ -247,7 +247,7 @@ SELECT {rows_of('customers')} AS dim_customers_count, {rows_of('products')} AS d
     - CASE WHEN orphan_stores > 100 THEN 10 ELSE 0 END - CASE WHEN {AS_OF} - latest_date > 7 THEN 5 ELSE 0 END AS quality_score,
   {rows_of('date')} = 4018 AS calendar_complete,
   {rows_of('customers')} >= 1000 AND {rows_of('products')} >= 100 AND {rows_of('stores')} >= 10 AND total_sales >= 1000 AS passed
-FROM fact_stats, orphans
+FROM fact_stats CROSS JOIN orphans
 """
 
 CENTS = "CAST(SUM(CAST(round_even({0} * 100, 0) AS BIGINT)) AS BIGINT)"
