@@ -349,7 +349,7 @@ SELECT customer_id, first_name, last_name, full_name, gender, date_of_birth, age
   total_lifetime_value AS lifetime_value, {ltv_category('total_lifetime_value')} AS ltv_category, {', '.join(C12)},
   {' + '.join(C12)} AS quality_issues_count,
   CASE WHEN {' + '.join(C12)} > 2 THEN 'POOR' WHEN {' + '.join(C12)} > 0 THEN 'ACCEPTABLE' ELSE 'CLEAN' END AS quality_tier,
-  staging_loaded_at, staging_batch_id, 'batch-20011231' AS intermediate_batch_id, _source_system, {NOW} AS intermediate_loaded_at
+  staging_loaded_at, staging_batch_id, 'batch-20011231' AS intermediate_batch_id, _source_system, {NOW} AS intermediate_loaded_at, _row_hash
 FROM intmd_customers_flagged
 """
 CTES["intmd_products"] = f"""
@@ -361,7 +361,7 @@ SELECT product_id, product_name, category, subcategory, brand, sku, supplier, se
   {margin_excl('profit_margin_pct')} AS margin_tier,
   CASE WHEN missing_sku_flag + missing_supplier_flag > 0 THEN 'BASIC'
        WHEN missing_weight_flag + missing_dimensions_flag + missing_launch_date_flag > 0 THEN 'GOOD' ELSE 'COMPLETE' END AS product_data_quality,
-  staging_loaded_at, {NOW} AS intermediate_loaded_at, staging_batch_id, 'batch-20011231' AS intermediate_batch_id, _source_system
+  staging_loaded_at, {NOW} AS intermediate_loaded_at, staging_batch_id, 'batch-20011231' AS intermediate_batch_id, _source_system, _row_hash
 FROM stg_products
 WHERE product_id IS NOT NULL
   AND missing_product_name_flag + invalid_price_flag + invalid_cost_flag + cost_exceeds_price_flag + missing_category_flag = 0
@@ -375,7 +375,7 @@ SELECT store_id, store_name, store_type, manager, store_address, city, state, zi
   {holds(f'city IN ({METRO})')} AS is_metro_area,
   CASE WHEN address_city_mismatch_flag + address_state_mismatch_flag + address_zip_mismatch_flag > 0 THEN 'BASIC'
        WHEN missing_manager_flag = 1 THEN 'GOOD' ELSE 'COMPLETE' END AS store_data_quality,
-  staging_loaded_at, {NOW} AS intermediate_loaded_at, staging_batch_id, 'batch-20011231' AS intermediate_batch_id, _source_system
+  staging_loaded_at, {NOW} AS intermediate_loaded_at, staging_batch_id, 'batch-20011231' AS intermediate_batch_id, _source_system, _row_hash
 FROM stg_stores
 WHERE store_id IS NOT NULL AND missing_store_name_flag + missing_city_flag + missing_state_flag + missing_zip_code_flag + missing_phone_flag
   + phone_too_short_flag + missing_opening_date_flag + future_opening_date_flag = 0

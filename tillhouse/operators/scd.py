@@ -17,14 +17,16 @@ NO_END = "cast(null as timestamp_ntz)"
 def one_per_id(batch: DataFrame, id_col: str) -> DataFrame:
     """A batch may repeat an id; the dimension keeps one current row per id.
 
-    The pick is the smallest row in column order, so it is the same every time.
+    The row hash of staging covers the row's content, so ordering by it gives
+    the same pick every time without sorting by every column.
     """
-    return first_by(batch, [id_col], [F.col(c).asc_nulls_last() for c in batch.columns if c != id_col])
+    order = ["_row_hash"] if "_row_hash" in batch.columns else [c for c in batch.columns if c != id_col]
+    return first_by(batch, [id_col], [F.col(c).asc_nulls_last() for c in order])
 
 
 def initial_load(batch: DataFrame, id_col: str, key_col: str, attributes: list[str], at: Column) -> DataFrame:
     """SCD1: every row is the current version from now on."""
-    return one_per_id(batch.select(id_col, *attributes), id_col).select(
+    return one_per_id(batch, id_col).select(
         surrogate_key(F.col(id_col), at).alias(key_col), id_col, *attributes,
         at.alias("valid_start_date"), F.expr(NO_END).alias("valid_end_date"), F.lit(True).alias("is_current"),
         at.alias("created_at"), at.alias("updated_at"),
@@ -64,7 +66,7 @@ def merge(dim: DataFrame, batch: DataFrame, id_col: str, key_col: str, attribute
     """
     columns = [key_col, id_col, *attributes, *HISTORY]
     old = current(dim).select(F.col(id_col), F.struct(*columns).alias("old"))
-    new = one_per_id(batch.select(id_col, *attributes), id_col).select(
+    new = one_per_id(batch, id_col).select(
         F.col(id_col), F.struct(id_col, *attributes).alias("new")
     )
     both = old.join(new, id_col, "full_outer")

@@ -69,7 +69,7 @@ class Warehouse:
 
     def stg_transactions(self) -> DataFrame:
         raw = self.raw("transactions")
-        names = staging.canonical_names(raw, "store_id", "store_name")
+        names = staging.store_name_of_lines(raw)
         return staging.stage_transactions(raw, names, self.ctx, monthly_run("data_created_modified"))
 
     def intmd_customers(self) -> DataFrame:
@@ -114,3 +114,21 @@ class Warehouse:
         first, second = self.dim_batches(name)
         loaded = marts.load_dimension(name, first, FIRST_RUN)
         return marts.merge_dimension(name, loaded, second, self.ctx)
+
+    def table(self, name: str) -> DataFrame:
+        """Any table of the warehouse by its name; dimensions as their current rows."""
+        layer, _, rest = name.partition("_")
+        if layer == "raw":
+            return self.raw(rest)
+        if name in ("dim_date",) or layer in ("stg", "intmd"):
+            return getattr(self, name)()
+        if layer == "dim":
+            return self.dim(rest)
+        build = {
+            "fact_sales": self.fact,
+            "revenue_performance": lambda: marts.revenue_performance(self.fact(), self.ctx),
+            "store_performance": lambda: marts.store_performance(self.fact(), self.dim("stores"), self.ctx),
+            "products_performance": lambda: marts.products_performance(self.fact(), self.dim("products"), self.ctx),
+            "customer_metrics": lambda: marts.customer_metrics(self.fact(), self.dim("customers"), self.ctx),
+        }
+        return build[name]()

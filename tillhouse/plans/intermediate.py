@@ -105,7 +105,7 @@ def refine_customers(staged: DataFrame, zips: DataFrame, ctx: RunContext = DEFAU
         buckets.ltv_category(c("total_lifetime_value")).alias("ltv_category"),
         *counted, "quality_issues_count", flags.quality_tier(c("quality_issues_count")).alias("quality_tier"),
         "staging_loaded_at", "staging_batch_id", F.lit(ctx.batch_id).alias("intermediate_batch_id"),
-        "_source_system", ctx.now.alias("intermediate_loaded_at"),
+        "_source_system", ctx.now.alias("intermediate_loaded_at"), "_row_hash",
     )
 
 
@@ -126,7 +126,7 @@ def refine_products(staged: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
         buckets.margin_tier(c("profit_margin_pct")).alias("margin_tier"),
         flags.completeness(core, extra).alias("product_data_quality"),
         "staging_loaded_at", ctx.now.alias("intermediate_loaded_at"), "staging_batch_id",
-        F.lit(ctx.batch_id).alias("intermediate_batch_id"), "_source_system",
+        F.lit(ctx.batch_id).alias("intermediate_batch_id"), "_source_system", "_row_hash",
     )
 
 
@@ -144,7 +144,7 @@ def refine_stores(staged: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
         buckets.region(c("state")).alias("region"), buckets.is_metro_area(c("city")).alias("is_metro_area"),
         flags.completeness(mismatches, [c("missing_manager_flag")]).alias("store_data_quality"),
         "staging_loaded_at", ctx.now.alias("intermediate_loaded_at"), "staging_batch_id",
-        F.lit(ctx.batch_id).alias("intermediate_batch_id"), "_source_system",
+        F.lit(ctx.batch_id).alias("intermediate_batch_id"), "_source_system", "_row_hash",
     )
 
 

@@ -15,6 +15,17 @@ def canonical_names(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.where(text.is_clean(F.col(name))).select(key, clean.alias("clean_name")).distinct()
 
 
+def store_name_of_lines(df: DataFrame) -> DataFrame:
+    """CLN2 for till lines: one clean store name per store.
+
+    Lines are keyed by (transaction, product), so a store with two clean
+    spellings must not multiply them; the first in order is taken.  Unique store
+    ids also let Spark drop this join from plans that do not use the name.
+    """
+    name = F.col("store_name")
+    return df.where(text.is_clean(name)).groupBy("store_id").agg(F.min(text.strip_non_printable(name)).alias("clean_name"))
+
+
 def zip_flags(customers: DataFrame, zips: DataFrame) -> DataFrame:
     """FLG7: invalid ZIP and ZIP/state mismatch with one lookup join.
 

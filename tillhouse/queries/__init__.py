@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["layers", "cleaning", "relational"]
+MODULES = ["layers", "cleaning", "relational", "quality"]
 
 
 def load_all():

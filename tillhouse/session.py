@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Call-site capture costs several driver round trips per Column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.functions.measures import money
-from tillhouse.sources.files import table
+from tillhouse.sources.files import spread, table
 
 NBSP, ZWSP, BAD_CHAR = "\u00a0", "\u200b", "\ufffd"
 
@@ -61,7 +61,7 @@ def _address(key: Column, city: Column, state: Column, zip_code: Column) -> Colu
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per till line; about one line in seven also has a 'DUP' copy."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
