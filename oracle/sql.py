@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import cleaning, quality, relational
+from oracle import cleaning, quality, relational, storage
 from oracle.ctes import with_ctes
 
 LAYERS = (
@@ -14,6 +14,6 @@ LAYERS = (
 def oracle() -> dict[str, str]:
     """Each query's SQL with the CTEs it needs in front."""
     sql = {name: f"SELECT * FROM {name}" for name in LAYERS}
-    for family in (cleaning, relational, quality):
+    for family in (cleaning, relational, quality, storage):
         sql |= family.ORACLE
     return {name: with_ctes(text) for name, text in sql.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["layers", "cleaning", "relational", "quality"]
+MODULES = ["layers", "cleaning", "relational", "quality", "storage", "streaming"]
 
 
 def load_all():
