@@ -383,7 +383,8 @@ WHERE store_id IS NOT NULL AND missing_store_name_flag + missing_city_flag + mis
 CTES["latest_lines"] = """
 SELECT * FROM stg_transactions
 QUALIFY ROW_NUMBER() OVER (PARTITION BY transaction_id_clean, product_id
-  ORDER BY staging_processed_at DESC, is_refund, transaction_id_raw LIKE '%DUP%', _row_hash, raw_loaded_at DESC) = 1
+  ORDER BY staging_processed_at DESC, is_refund, transaction_id_raw LIKE '%DUP%', raw_loaded_at DESC,
+  quantity, unit_price, line_total, total_amount, customer_id, store_id) = 1
 """
 CTES["admitted_lines"] = """
 SELECT * FROM latest_lines

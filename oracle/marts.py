@@ -130,7 +130,7 @@ def n_if(test: str) -> str:
 
 CTES["staging_marked"] = """
 SELECT *, date_trunc('day', staging_processed_at) AS profile_date, COUNT(*) OVER (PARTITION BY transaction_id_clean, product_id) AS occurrences,
-  ROW_NUMBER() OVER (PARTITION BY transaction_id_clean ORDER BY product_id NULLS LAST, transaction_id_raw, _row_hash, staging_processed_at) AS line_no
+  ROW_NUMBER() OVER (PARTITION BY transaction_id_clean ORDER BY product_id NULLS LAST, transaction_id_raw, total_amount, staging_processed_at) AS line_no
 FROM stg_transactions
 """
 CTES["staging_daily"] = f"""

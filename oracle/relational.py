@@ -122,7 +122,7 @@ FROM nested_headers h LEFT JOIN (SELECT k, COUNT(*) AS neg FROM nested_items WHE
 o["win1_dedup_latest_line"] = "SELECT transaction_id_clean, product_id, transaction_id_raw, staging_processed_at, quantity FROM latest_lines"
 o["win2_first_line"] = """
 SELECT transaction_id_clean, product_id, total_amount FROM stg_transactions
-QUALIFY ROW_NUMBER() OVER (PARTITION BY transaction_id_clean ORDER BY product_id NULLS LAST, transaction_id_raw, _row_hash) = 1"""
+QUALIFY ROW_NUMBER() OVER (PARTITION BY transaction_id_clean ORDER BY product_id NULLS LAST, transaction_id_raw, total_amount) = 1"""
 o["win3_occurrences"] = """
 SELECT REPLACE(transaction_id, 'DUP', '') AS transaction_id_clean, product_id, transaction_id,
   COUNT(*) OVER (PARTITION BY REPLACE(transaction_id, 'DUP', ''), product_id) AS occurrences FROM raw_transactions"""
@@ -142,8 +142,7 @@ PARTS = f"""WITH parts AS (SELECT l_partkey, p_type, {CENTS.format('l_extendedpr
 o["win8_global_ranks"] = f"""{PARTS}
 SELECT *, RANK() OVER (ORDER BY revenue_cents DESC) AS revenue_rank, RANK() OVER (ORDER BY units DESC) AS units_rank,
   RANK() OVER (PARTITION BY p_type ORDER BY revenue_cents DESC) AS rank_in_type FROM parts"""
-o["win8_global_ranks_in_ranges"] = f"""{PARTS}
-SELECT *, RANK() OVER (ORDER BY revenue_cents DESC) AS revenue_rank, RANK() OVER (ORDER BY units DESC) AS units_rank FROM parts"""
+o["win8_global_ranks_in_ranges"] = o["win8_global_ranks"]
 o["win9_percentile_tiers"] = f"""{PARTS},
 ranked AS (SELECT l_partkey, RANK() OVER (ORDER BY revenue_cents DESC) AS rk, PERCENT_RANK() OVER (ORDER BY revenue_cents DESC) AS pr FROM parts)
 SELECT l_partkey, {mt('pr', 4)} AS percent_rank, CASE WHEN rk <= 10 THEN 'Top 10' WHEN pr <= 0.2 THEN 'Top 20%' WHEN pr <= 0.5 THEN 'Top 50%' ELSE 'Bottom 50%' END AS performance_tier

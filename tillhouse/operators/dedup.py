@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 from tillhouse.functions.text import DUPLICATE_MARKER
 
+LINE_VALUES = ["quantity", "unit_price", "line_total", "total_amount", "customer_id", "store_id"]
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row per key under ``order``."""
@@ -24,15 +26,16 @@ def latest_line(staged: DataFrame) -> DataFrame:
     """WIN1: one row per (transaction, product).
 
     Newest load first, sales before refunds, then the plain id before its
-    'DUP' copy; the row hash makes the order total.
+    'DUP' copy; the values of the line make the order total, without hashing
+    rows that mostly have no rival.
     """
     marked = F.col("transaction_id_raw").contains(DUPLICATE_MARKER)
     order = [
         F.col("staging_processed_at").desc(),
         F.col("is_refund").asc(),
         marked.asc(),
-        F.col("_row_hash").asc(),
         F.col("raw_loaded_at").desc(),
+        *[F.col(v).asc_nulls_last() for v in LINE_VALUES],
     ]
     return first_by(staged, ["transaction_id_clean", "product_id"], order)
 

@@ -27,30 +27,42 @@ def _range_id(value: Column, bounds: list[int]) -> Column:
     return F.size(F.filter(marks, lambda b: b > value))
 
 
-def _running(df: DataFrame, value: str, measures: dict[str, str], small_rows: int, rows_per_range: int) -> DataFrame:
-    """Per distinct value: totals over all strictly greater values.
+def _running(
+    df: DataFrame, value: str, measures: dict[str, str], small_rows: int, rows_per_range: int, group: list[str] | None = None
+) -> DataFrame:
+    """Per distinct value (of a group): totals over all strictly greater values.
 
-    ``df`` has one row per distinct ``value`` and must be materialised, since it
-    is read once for the range bounds and once for the result.
+    ``df`` has one row per distinct ``value`` and group and must be materialised,
+    since it is read once for the range bounds and once for the result.
     """
+    group = group or []
+    up_to = (Window.unboundedPreceding, -1)
+    zero = F.lit(0)
     n = df.count()
     if n <= small_rows:
-        before = Window.orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select("*", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(a) for m, a in measures.items()])
+        before = Window.partitionBy(*group).orderBy(F.col(value).desc()).rowsBetween(*up_to)
+        return df.select("*", *[F.coalesce(F.sum(m).over(before), zero).alias(a) for m, a in measures.items()])
 
     ranges = min(MAX_RANGES, n // rows_per_range + 1)
     # A bounded list: at most MAX_RANGES numbers reach the driver.
     bounds = sorted({int(b) for b in df.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.1 / ranges)})
     parts = df.withColumn("_range", _range_id(F.col(value), bounds))
-    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.groupBy("_range").agg(*[F.sum(m).alias(f"_sum_{a}") for m, a in measures.items()]).select(
-        "_range", *[F.coalesce(F.sum(f"_sum_{a}").over(ahead), F.lit(0)).alias(f"_off_{a}") for a in measures.values()]
+    ahead = Window.partitionBy(*group).orderBy("_range").rowsBetween(*up_to)
+    offsets = parts.groupBy(*group, "_range").agg(*[F.sum(m).alias(f"_sum_{a}") for m, a in measures.items()]).select(
+        *group, "_range", *[F.coalesce(F.sum(f"_sum_{a}").over(ahead), zero).alias(f"_off_{a}") for a in measures.values()]
+    )
+    inside = Window.partitionBy(*group, "_range").orderBy(F.col(value).desc()).rowsBetween(*up_to)
+    local = parts.select("*", *[F.coalesce(F.sum(m).over(inside), zero).alias(a) for m, a in measures.items()])
+    on = F.col("l._range") == F.col("o._range")
+    for g in group:
+        on = on & F.col(f"l.{g}").eqNullSafe(F.col(f"o.{g}"))
+    # Without groups there is one row per range, at most MAX_RANGES + 1: a bounded
+    # broadcast.  With groups Spark decides by size.
+    right = (offsets if group else F.broadcast(offsets)).alias("o")
+    joined = local.alias("l").join(right, on)
+    return joined.select(
+        *[F.col(f"l.{c}") for c in df.columns], *[(F.col(f"l.{a}") + F.col(f"o._off_{a}")).alias(a) for a in measures.values()]
     )
-    inside = Window.partitionBy("_range").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    local = parts.select("*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(a) for m, a in measures.items()])
-    # One row per range: at most MAX_RANGES + 1 rows, so this broadcast is bounded.
-    joined = local.join(F.broadcast(offsets), "_range")
-    return joined.select(*df.columns, *[(F.col(a) + F.col(f"_off_{a}")).alias(a) for a in measures.values()])
 
 
 def global_ranks(
@@ -91,19 +103,19 @@ def running_share(
     return df.join(share, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
-def rank_in_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+def rank_in_group(
+    df: DataFrame, group: str, value: str, name: str, materialise, small_rows: int = GLOBAL_WINDOW_ROWS, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """WIN8 within a region or category.
 
-    One range per group would be a hot task for a group holding a third of all
-    rows, so the rank is counted from distinct values: greater values per group.
+    A group may hold a third of all rows, so large inputs are cut into value
+    ranges inside each group as well.
     """
-    levels = df.groupBy(group, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(group).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = levels.select(
-        F.col(group).alias("_g"), F.col(value).alias("_v"), (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(name)
-    )
+    levels = materialise(df.groupBy(group, value).agg(F.count("*").alias("_n")), f"levels-{name}")
+    ranked = _running(levels, value, {"_n": "_before"}, small_rows, rows_per_range, [group])
+    level = ranked.select(F.col(group).alias("_g"), F.col(value).alias("_v"), (F.col("_before") + 1).alias(name))
     on = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
-    return df.join(ranked, on).drop("_g", "_v")
+    return df.join(level, on).drop("_g", "_v")
 
 
 def day_change(revenue: str, date: str, back: int) -> Column:

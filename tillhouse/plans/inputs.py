@@ -7,6 +7,7 @@ then looks like monthly runs, which gives profiles and watermarks real work.
 from __future__ import annotations
 
 import datetime as dt
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,52 +45,77 @@ def monthly_run(loaded_at: str) -> Column:
     return F.add_months(F.trunc(loaded_at, "MM"), 1).cast("timestamp_ntz")
 
 
+def built_once(method):
+    """A table's plan is put together once per warehouse, however many tables use it."""
+    @wraps(method)
+    def build(self, *args):
+        key = (method.__name__, *args)
+        if key not in self.plans:
+            self.plans[key] = method(self, *args)
+        return self.plans[key]
+
+    return build
+
+
 class Warehouse:
     """Each method builds one table from the ones below it; nothing runs until asked."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: RunContext = DEFAULT):
         self.spark, self.sf_dir, self.ctx = spark, sf_dir, ctx
+        self.plans: dict[tuple, DataFrame] = {}
 
+    @built_once
     def raw(self, name: str) -> DataFrame:
         return getattr(standin, f"raw_{name}")(self.spark, self.sf_dir)
 
+    @built_once
     def zips(self) -> DataFrame:
         return standin.zip_lookup(self.spark, self.sf_dir)
 
+    @built_once
     def stg_customers(self) -> DataFrame:
         return staging.stage_customers(self.raw("customers"), self.zips(), self.ctx)
 
+    @built_once
     def stg_products(self) -> DataFrame:
         raw = self.raw("products")
         return staging.stage_products(raw, staging.canonical_names(raw, "product_id", "product_name"), self.ctx)
 
+    @built_once
     def stg_stores(self) -> DataFrame:
         raw = self.raw("stores")
         return staging.stage_stores(raw, staging.canonical_names(raw, "store_id", "store_name"), self.ctx)
 
+    @built_once
     def stg_transactions(self) -> DataFrame:
         raw = self.raw("transactions")
         names = staging.store_name_of_lines(raw)
         return staging.stage_transactions(raw, names, self.ctx, monthly_run("data_created_modified"))
 
+    @built_once
     def intmd_customers(self) -> DataFrame:
         return intermediate.refine_customers(self.stg_customers(), self.zips(), self.ctx)
 
+    @built_once
     def intmd_products(self) -> DataFrame:
         return intermediate.refine_products(self.stg_products(), self.ctx)
 
+    @built_once
     def intmd_stores(self) -> DataFrame:
         return intermediate.refine_stores(self.stg_stores(), self.ctx)
 
+    @built_once
     def intmd_transactions(self) -> DataFrame:
         return intermediate.refine_transactions(self.stg_transactions(), self.ctx, F.col("staging_processed_at"))
 
+    @built_once
     def dim(self, name: str) -> DataFrame:
         return marts.load_dimension(name, getattr(self, f"intmd_{name}")(), self.ctx)
 
     def dim_date(self) -> DataFrame:
         return marts.dim_date(marts.date_spine(self.spark, marts.CALENDAR_START, marts.CALENDAR_END), self.ctx)
 
+    @built_once
     def sales(self) -> DataFrame:
         """The fact's own columns, for reports that need no dimension: nothing is looked up."""
         c = F.col
@@ -99,6 +125,7 @@ class Warehouse:
             c("line_total_clean").alias("line_total"), c("quantity_clean").alias("quantity"),
         )
 
+    @built_once
     def fact(self) -> DataFrame:
         return marts.fact_sales(
             self.intmd_transactions(), self.dim("customers"), self.dim("products"), self.dim("stores"), self.ctx

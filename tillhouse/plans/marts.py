@@ -248,7 +248,7 @@ def store_performance(fact: DataFrame, stores: DataFrame, ctx: RunContext = DEFA
         "store-totals",
     )
     ranked = ranking.global_ranks(base, {"revenue_cents": "revenue_rank", "profit_cents": "profit_rank"}, materialise, small_rows)
-    ranked = ranking.rank_in_group(ranked, "region", "revenue_cents", "rank_in_region")
+    ranked = ranking.rank_in_group(ranked, "region", "revenue_cents", "rank_in_region", materialise, small_rows)
     counted = ranked.crossJoin(F.broadcast(base.agg(F.count("*").alias("_stores"))))
     pct = _percentile_rank("revenue_rank", "_stores")
     revenue, profit = F.col("revenue_cents") / 100.0, F.col("profit_cents") / 100.0
@@ -282,7 +282,7 @@ def products_performance(fact: DataFrame, products: DataFrame, ctx: RunContext =
     ranked = ranking.global_ranks(
         base, {"revenue_cents": "revenue_rank", "profit_cents": "profit_rank", "total_units_sold": "units_rank"}, materialise, small_rows
     )
-    ranked = ranking.rank_in_group(ranked, "category", "revenue_cents", "rank_in_category")
+    ranked = ranking.rank_in_group(ranked, "category", "revenue_cents", "rank_in_category", materialise, small_rows)
     ranked = ranking.running_share(ranked, "revenue_cents", "_share", materialise, small_rows)
     counted = ranked.crossJoin(F.broadcast(base.agg(F.count("*").alias("_products"))))
     pct = _percentile_rank("revenue_rank", "_products")

@@ -33,7 +33,7 @@ STAGING_COLUMNS = [
     "staging_processed_at", "transaction_date", "transaction_id_clean", "transaction_id_raw", "product_id", "customer_id",
     "store_id", "missing_transaction_id_flag", "missing_date_flag", "missing_customer_id_flag", "missing_product_id_flag",
     "negative_quantity_flag", "negative_amount_flag", "zero_total_amount_flag", "zero_quantity_flag",
-    "high_unit_price_flag", "line_total", "quantity", "total_amount", "is_refund", "has_promotion", "_row_hash",
+    "high_unit_price_flag", "line_total", "quantity", "total_amount", "is_refund", "has_promotion",
 ]
 INTERMEDIATE_COLUMNS = [
     "intermediate_processed_at", "line_item_key", "transaction_id", "customer_id", "product_id", "store_id",
@@ -100,7 +100,7 @@ def staging_profile(staged: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("occurrences") > 1, F.col("n")).otherwise(0)).alias("duplicate_txn_product_line_items"),
     )
 
-    order = [F.col("product_id").asc_nulls_last(), F.col("transaction_id_raw").asc(), F.col("_row_hash").asc(), F.col("profile_date").asc()]
+    order = [F.col("product_id").asc_nulls_last(), F.col("transaction_id_raw").asc(), F.col("total_amount").asc(), F.col("profile_date").asc()]
     heads = first_line_per_transaction(lines, "transaction_id_clean", order)
     headers = heads.groupBy("profile_date").agg(money_total(F.sum("total_amount"), 4).alias("total_transaction_revenue"))
 

@@ -319,7 +319,7 @@ def win1(spark, sf):
 @query("win2_first_line")
 def win2(spark, sf):
     lines = Warehouse(spark, sf).stg_transactions()
-    order = [c("product_id").asc_nulls_last(), c("transaction_id_raw").asc(), c("_row_hash").asc()]
+    order = [c("product_id").asc_nulls_last(), c("transaction_id_raw").asc(), c("total_amount").asc()]
     return dedup.first_line_per_transaction(lines, "transaction_id_clean", order).select("transaction_id_clean", "product_id", "total_amount")
 
 
@@ -378,16 +378,17 @@ def _part_revenue(spark, sf):
 @query("win8_global_ranks")
 def win8(spark, sf):
     ranked = ranking.global_ranks(_part_revenue(spark, sf), {"revenue_cents": "revenue_rank", "units": "units_rank"}, materialise)
-    return ranking.rank_in_group(ranked, "p_type", "revenue_cents", "rank_in_type")
+    return ranking.rank_in_group(ranked, "p_type", "revenue_cents", "rank_in_type", materialise)
 
 
 @query("win8_global_ranks_in_ranges")
 def win8_ranges(spark, sf):
     """The same, forced through the path for inputs too large for one task."""
     base = _part_revenue(spark, sf)
-    return ranking.global_ranks(
+    ranked = ranking.global_ranks(
         base, {"revenue_cents": "revenue_rank", "units": "units_rank"}, materialise, small_rows=0, rows_per_range=200
     )
+    return ranking.rank_in_group(ranked, "p_type", "revenue_cents", "rank_in_type", materialise, small_rows=0, rows_per_range=200)
 
 
 @query("win9_percentile_tiers")

@@ -35,7 +35,7 @@ def src2(spark, sf):
     area = _area(spark)
     raw = standin.raw_transactions(spark, sf).withColumnRenamed("data_created_modified", "data_created/modified")
     month = F.date_format(F.col("`data_created/modified`"), "yyyy-MM")
-    raw.withColumn("month", month).repartition("month").write.partitionBy("month").parquet(f"{area}/landing")
+    sinks.gathered(raw.withColumn("month", month), "month").write.partitionBy("month").parquet(f"{area}/landing")
     back = files.scan_parquet_glob(spark, f"{area}/landing/month=*", schemas.RAW_TRANSACTIONS)
     return back.select("transaction_id", "product_id", "quantity", "data_created_modified")
 

@@ -19,6 +19,15 @@ from tillhouse.session import materialise
 MAX_TOUCHED_PARTITIONS = 20_000
 
 
+def gathered(df: DataFrame, partition: str) -> DataFrame:
+    """Rows of one partition together, so that it is written as few large files.
+
+    REBALANCE lets AQE merge small partitions and split one that holds much of
+    the data; a plain repartition would give that one to a single task.
+    """
+    return df.hint("rebalance", F.col(partition))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a Parquet table can be read at ``path``."""
     try:
@@ -50,7 +59,7 @@ def incremental_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: l
     """
     batch = materialise(batch, "upsert-batch")
     if not table_exists(spark, path):
-        batch.write.partitionBy(partition).parquet(path)
+        gathered(batch, partition).write.partitionBy(partition).parquet(path)
         return
     target = spark.read.schema(batch.schema).parquet(path)
     hit = target.select(partition, *[k for k in keys if k != partition]).join(
@@ -60,14 +69,15 @@ def incremental_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: l
     touched = hit.union(batch.select(partition)).distinct().limit(MAX_TOUCHED_PARTITIONS + 1)
     values = [r[0] for r in touched.collect()]
     if len(values) > MAX_TOUCHED_PARTITIONS:
-        overwrite_table(upserted(target, batch, keys), path, [partition])
+        overwrite_table(upserted(target, batch, keys), path, partition)
         return
     known = [v for v in values if v is not None]
     inside = F.col(partition).isin(known)
     if len(known) < len(values):
         inside = inside | F.col(partition).isNull()
     merged = materialise(upserted(target.where(inside), batch, keys), "upsert-merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    writer = gathered(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
     left = {r[0] for r in merged.select(partition).distinct().collect()}
     for value in values:
         if value not in left:
@@ -81,11 +91,14 @@ def _drop_partition(spark: SparkSession, path: str, partition: str, value) -> No
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def overwrite_table(df: DataFrame, path: str, partition: list[str] | None = None) -> None:
+def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> None:
     """SNK2: full rebuild, safe even when ``df`` reads the table itself."""
     staged = materialise(df, "rebuild")
-    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    if partition:
+        writer = gathered(staged, partition).write.partitionBy(partition)
+    else:
+        writer = staged.write
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def write_if_absent(df: DataFrame, path: str) -> None:
