@@ -31,10 +31,10 @@ def test_scd2_versions(spark):
     dim = scd.initial_load(frame(spark, [("a", "A", "X"), ("b", "B", "X"), ("c", "C", None), ("d", "D", "X")]), "id", "key", ATTRS, at(1))
     batch = frame(spark, [("a", "A", "Y"), ("b", "B2", "X"), ("c", "C", "Z"), ("e", "E", "X"), ("e", "E", "X")])
     merged = scd.merge(dim, batch, "id", "key", ATTRS, TRACKED, at(2))
-    assert versions(merged) == [
+    assert versions(merged) == sorted([
         ("a", "A", "X", False), ("a", "A", "Y", True), ("b", "B", "X", True), ("c", "C", None, False), ("c", "C", "Z", True),
         ("d", "D", "X", True), ("e", "E", "X", True),
-    ]
+    ], key=str)
     closed = {r["id"]: r for r in merged.where("not is_current").collect()}
     opened = {r["id"]: r for r in merged.where("is_current").collect()}
     assert all(closed[i]["valid_end_date"] == opened[i]["valid_start_date"] for i in closed)
