@@ -61,7 +61,7 @@ def _address(key: Column, city: Column, state: Column, zip_code: Column) -> Colu
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per till line; about one line in seven also has a 'DUP' copy."""
-    line = spread(table(spark, sf_dir, "lineitem"))
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
