@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.ctes import AS_OF, CTES, NOW, m, mt
+from oracle.ctes import AS_OF, CTES, NOW, m
+from tillhouse.functions import buckets, text
 
 CLEAN = r"TRIM(REGEXP_REPLACE({0}, '[^\x20-\x7E]', '', 'g'))"
 BARE = "REGEXP_REPLACE({0}, '[-().]', '', 'g')"
@@ -78,18 +79,29 @@ def age_group(a: str) -> str:
         WHEN {a} BETWEEN 35 AND 44 THEN '35-44' WHEN {a} BETWEEN 45 AND 54 THEN '45-54' WHEN {a} BETWEEN 55 AND 64 THEN '55-64' ELSE '65+' END"""
 
 
+def one_of(c: str, groups: dict[str, list[str]], default: str | None) -> str:
+    """A CASE over the fixed code lists."""
+    tests = " ".join(f"WHEN {c} IN ({', '.join(repr(v) for v in codes)}) THEN '{label}'" for label, codes in groups.items())
+    return f"CASE {tests} ELSE {'NULL' if default is None else repr(default)} END"
+
+
+def spellings(mapping: dict[str, str]) -> dict[str, list[str]]:
+    groups: dict[str, list[str]] = {}
+    for spelling, label in mapping.items():
+        groups.setdefault(label, []).append(spelling)
+    return groups
+
+
 def gender(c: str) -> str:
-    return f"""CASE UPPER(TRIM({c})) WHEN 'M' THEN 'Male' WHEN 'MALE' THEN 'Male' WHEN 'F' THEN 'Female' WHEN 'FEMALE' THEN 'Female'
-        WHEN 'OTHER' THEN 'Other' END"""
+    return one_of(f"UPPER(TRIM({c}))", spellings(text.GENDERS), None)
 
 
 def contact(c: str) -> str:
-    return f"CASE UPPER(TRIM({c})) WHEN 'SMS' THEN 'SMS' WHEN 'EMAIL' THEN 'Email' WHEN 'PHONE' THEN 'Phone' END"
+    return one_of(f"UPPER(TRIM({c}))", spellings(text.CONTACTS), None)
 
 
 def segment(c: str) -> str:
-    return f"""CASE UPPER(TRIM({c})) WHEN 'BUDGET' THEN 'Budget' WHEN 'PREMIUM' THEN 'Premium' WHEN 'REGULAR' THEN 'Regular'
-        WHEN 'VIP' THEN 'VIP' ELSE 'Unknown' END"""
+    return one_of(f"UPPER(TRIM({c}))", spellings(text.SEGMENTS), "Unknown")
 
 
 def tenure_months(d: str) -> str:
@@ -170,22 +182,14 @@ def store_maturity(y: str) -> str:
 
 
 def store_category(t: str) -> str:
-    return f"""CASE WHEN {t} = 'WAREHOUSE' THEN 'Warehouse' WHEN {t} IN ('POP-UP', 'KIOSK') THEN 'Temporary'
-        WHEN {t} IN ('CLEARANCE', 'OUTLET') THEN 'Outlet' WHEN {t} IN ('MAIN', 'FLAGSHIP') THEN 'Flagship' ELSE 'Standard' END"""
+    return one_of(t, buckets.STORE_CATEGORIES, "Standard")
 
 
 def region(s: str) -> str:
-    return f"""CASE WHEN list_contains(string_split('IL IN MI OH WI MN IA MO ND SD NE KS', ' '), {s}) THEN 'Midwest'
-        WHEN list_contains(string_split('NY NJ PA CT MA VT NH ME RI', ' '), {s}) THEN 'Northeast'
-        WHEN list_contains(string_split('TX OK AR LA MS AL TN KY', ' '), {s}) THEN 'South'
-        WHEN list_contains(string_split('CA OR WA NV AZ', ' '), {s}) THEN 'West' ELSE 'Other' END"""
+    return one_of(s, buckets.REGIONS, "Other")
 
 
-METRO = (
-    "'New York', 'Los Angeles', 'Chicago', 'Houston', 'Phoenix', 'Philadelphia', 'San Antonio', 'San Diego', 'Dallas', "
-    "'San Jose', 'Austin', 'Jacksonville', 'Fort Worth', 'Columbus', 'Charlotte', 'San Francisco', 'Indianapolis', "
-    "'Seattle', 'Denver', 'Boston'"
-)
+METRO = ", ".join(repr(c) for c in buckets.METRO_CITIES)
 
 
 def day_part(h: str) -> str:

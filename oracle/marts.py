@@ -4,30 +4,12 @@ from __future__ import annotations
 
 from oracle.ctes import AS_OF, CTES, NOW, mt
 from oracle.layers import key, tenure_days
+from tillhouse.plans.marts import DIMENSIONS
 
 FIRST = "TIMESTAMP '1998-12-31 06:00:00'"
 FIRST_DAY = "DATE '1998-12-31'"
 DIMS = {
-    "customers": (
-        "customer_id", "customer_key",
-        "first_name, last_name, full_name, gender, date_of_birth, age, age_group, email, phone, phone_extension, phone_digits_only, street_address, city, "
-        "state, zip_code, state_code_from_zip, state_name_from_zip, county_name, fips_code, latitude, longitude, registration_date, days_since_registration, "
-        "customer_tenure_category, customer_segment, lifetime_value, ltv_category, quality_tier, quality_issues_count",
-        "street_address, city, state, zip_code, customer_segment, ltv_category, customer_tenure_category",
-    ),
-    "products": (
-        "product_id", "product_key",
-        "product_name, category, subcategory, brand, sku, supplier, selling_price, cost_price, profit_margin_pct, price_tier, price_category, stock_quantity, "
-        "stock_status, is_available, is_out_of_stock, is_low_stock, weight, weight_category, dimensions, launch_date, days_since_launch, product_maturity, "
-        "is_upcoming, margin_tier, product_data_quality",
-        "selling_price, cost_price, category, subcategory, supplier, price_tier, price_category",
-    ),
-    "stores": (
-        "store_id", "store_key",
-        "store_name, store_type, store_category, manager, store_address, full_address, city, state, zip_code, region, is_metro_area, store_phone, opening_date, "
-        "days_since_opening, years_since_opening, store_age_category, store_maturity_tier, is_fully_operational, is_legacy_store, address_quality, store_data_quality",
-        "manager, store_type, store_category, is_fully_operational, region",
-    ),
+    name: (id_, key_, ", ".join(attributes), ", ".join(tracked)) for name, (id_, key_, attributes, tracked) in DIMENSIONS.items()
 }
 
 
