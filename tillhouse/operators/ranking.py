@@ -44,8 +44,9 @@ def _running(
         return df.select("*", *[F.coalesce(F.sum(m).over(before), zero).alias(a) for m, a in measures.items()])
 
     ranges = min(MAX_RANGES, n // rows_per_range + 1)
+    shares = [i / ranges for i in range(1, ranges)]
     # A bounded list: at most MAX_RANGES numbers reach the driver.
-    bounds = sorted({int(b) for b in df.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.1 / ranges)})
+    bounds = sorted({int(b) for b in df.approxQuantile(value, shares, 0.1 / ranges)}) if shares else []
     parts = df.withColumn("_range", _range_id(F.col(value), bounds))
     ahead = Window.partitionBy(*group).orderBy("_range").rowsBetween(*up_to)
     offsets = parts.groupBy(*group, "_range").agg(*[F.sum(m).alias(f"_sum_{a}") for m, a in measures.items()]).select(
