@@ -103,3 +103,13 @@ def rounded_years(days: Column) -> Column:
 def date_key(date: Column) -> Column:
     """MEA7: yyyymmdd as an integer."""
     return F.year(date) * 10000 + F.month(date) * 100 + F.day(date)
+
+
+def utc_instant(clock: Column) -> Column:
+    """A wall-clock time read as UTC, whatever the session's time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+
+
+def utc_clock(instant: Column) -> Column:
+    """The UTC wall-clock time of an instant, whatever the session's time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))

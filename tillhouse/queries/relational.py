@@ -65,7 +65,7 @@ def fil6(spark, sf):
 @query("fil7_high_water_mark")
 def fil7(spark, sf):
     lines = Warehouse(spark, sf).stg_transactions().select("transaction_id_raw", "product_id", "raw_loaded_at", "staging_processed_at")
-    held = table(spark, sf, "lineitem").where(c("l_returnflag") == "N").select(F.least("l_shipdate", F.lit(CUT)).cast("timestamp_ntz").alias("at"))
+    held = table(spark, sf, "lineitem").where(c("l_returnflag") == "N").select(F.least("l_shipdate", F.lit(str(CUT)).cast("timestamp_ntz")).alias("at"))
     return incremental.newer_than_target(lines, "raw_loaded_at", held, "at")
 
 
@@ -543,7 +543,7 @@ def inc1(spark, sf):
 @query("inc2_watermark_capture")
 def inc2(spark, sf):
     lines = Warehouse(spark, sf).stg_transactions().select("transaction_id_raw", "product_id", "raw_loaded_at", "staging_processed_at")
-    held = lines.where(c("staging_processed_at") < F.lit(CUT).cast("timestamp_ntz"))
+    held = lines.where(c("staging_processed_at") < F.lit(str(CUT)).cast("timestamp_ntz"))
     return incremental.newer_than(lines, "raw_loaded_at", incremental.high_water_mark(held, "staging_processed_at"))
 
 
@@ -552,7 +552,7 @@ def inc3(spark, sf):
     from tillhouse.sources.sinks import upserted
 
     lines = Warehouse(spark, sf).stg_transactions().select("transaction_id_clean", "product_id", "transaction_id_raw", "staging_processed_at", "quantity")
-    before = c("staging_processed_at") < F.lit(CUT).cast("timestamp_ntz")
+    before = c("staging_processed_at") < F.lit(str(CUT)).cast("timestamp_ntz")
     return upserted(lines.where(before), lines.where(~before), ["transaction_id_clean", "product_id"])
 
 
@@ -562,7 +562,7 @@ def inc4(spark, sf):
 
     profile = agg1(spark, sf).select("profile_date", "total_line_items", "unique_transactions")
     profile = materialise(profile, "profile")
-    held = profile.where(c("profile_date") < F.lit(CUT).cast("timestamp_ntz")).withColumn("unique_transactions", F.lit(0).cast("bigint"))
+    held = profile.where(c("profile_date") < F.lit(str(CUT)).cast("timestamp_ntz")).withColumn("unique_transactions", F.lit(0).cast("bigint"))
     batch = incremental.new_profile_days(profile, held)
     return upserted(held, batch, ["profile_date"])
 

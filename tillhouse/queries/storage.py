@@ -81,7 +81,7 @@ def snk1(spark, sf):
     lines = Warehouse(spark, sf).stg_transactions().select(
         "transaction_id_clean", "product_id", "transaction_id_raw", "staging_processed_at", "quantity", F.trunc("transaction_date", "MM").alias("month")
     )
-    before = c("staging_processed_at") < F.lit(CUT).cast("timestamp_ntz")
+    before = c("staging_processed_at") < F.lit(str(CUT)).cast("timestamp_ntz")
     keys = ["transaction_id_clean", "product_id"]
     for batch in (lines.where(before), lines.where(~before)):
         sinks.incremental_upsert(spark, f"{area}/lines", batch, keys, "month")

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tillhouse.functions.dates import utc_clock
 from tillhouse.queries.registry import query
 from tillhouse.session import shared_folder
 from tillhouse.sources import standin
@@ -94,12 +95,12 @@ def _figures(spark, sf):
 
 @query("str5_live_store_figures")
 def str5(spark, sf):
-    return live.with_averages(_figures(spark, sf)).withColumn("window_start", c("window_start").cast("timestamp_ntz"))
+    return live.with_averages(_figures(spark, sf)).withColumn("window_start", utc_clock(c("window_start")))
 
 
 @query("str5_live_totals")
 def str5_totals(spark, sf):
-    return live.window_totals(_figures(spark, sf)).withColumn("window_start", c("window_start").cast("timestamp_ntz"))
+    return live.window_totals(_figures(spark, sf)).withColumn("window_start", utc_clock(c("window_start")))
 
 
 @query("str6_stream_static_enrich")
@@ -116,7 +117,7 @@ def str7(spark, sf):
     area = _area(spark)
     figures = live.live_figures(_messages(spark, sf, area), standin.live_stores(spark, sf), width="1 hour")
     live.write_closed_windows(figures, f"{area}/windows", f"{area}/checkpoint", available_now=True).awaitTermination()
-    return live.with_averages(spark.read.parquet(f"{area}/windows")).withColumn("window_start", c("window_start").cast("timestamp_ntz"))
+    return live.with_averages(spark.read.parquet(f"{area}/windows")).withColumn("window_start", utc_clock(c("window_start")))
 
 
 @query("snk5_promote_stream_file")

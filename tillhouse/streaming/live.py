@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillhouse.functions.dates import utc_clock, utc_instant
 from tillhouse.functions.measures import money_total
 from tillhouse.operators.streams import coerce_types, drop_marked_duplicates, enrich_with_stores, parse_messages
 from tillhouse.sources.sinks import incremental_upsert
@@ -43,7 +44,7 @@ def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None
 def typed_lines(messages: DataFrame) -> DataFrame:
     """STR2: typed till lines; the arrival time stands in for a missing event time."""
     lines = coerce_types(parse_messages(messages))
-    return lines.withColumn("event_time", F.coalesce(F.col("datetime").cast("timestamp"), F.col("timestamp"))).drop("timestamp")
+    return lines.withColumn("event_time", F.coalesce(utc_instant(F.col("datetime")), F.col("timestamp"))).drop("timestamp")
 
 
 def distinct_lines(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -103,7 +104,7 @@ def write_daily_files(lines: DataFrame, path: str, checkpoint: str, available_no
 def write_figures(figures: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """STR5: keep a table of current figures; a repeated batch replaces its own rows."""
     def store(batch: DataFrame, epoch: int) -> None:
-        rows = batch.withColumn("day", F.to_date("window_start"))
+        rows = batch.withColumn("day", F.to_date(utc_clock(F.col("window_start"))))
         incremental_upsert(batch.sparkSession, path, rows, ["window_start", "store_name"], "day")
 
     return _start(figures.writeStream.outputMode("update").foreachBatch(store), checkpoint, available_now)
