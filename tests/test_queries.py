@@ -6,7 +6,10 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from oracle.sql import oracle as library_oracle
+from tillhouse.queries import load_all
+
+QUERIES, ORACLE = load_all(), library_oracle()
 
 
 def test_every_oracle_has_a_query():
