@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +12,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started from the same file system find the package, from whatever folder the driver runs."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def query(name: str):
     def register(fn):
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
+        return run
 
     return register
 
@@ -33,3 +49,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillhouse.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.token_files import encode_corpus
+
+    return encode_corpus(table(spark, sf_dir, "documents"), tokenizer_path())
