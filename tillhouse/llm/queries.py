@@ -7,6 +7,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +57,85 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillhouse.llm.token_files import encode_corpus
 
     return encode_corpus(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.line_dedup import dedup_lines
+
+    lines = dedup_lines(table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op10_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), repeated AS (
+  SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id < r.last_doc AS dropped FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+ALLOW, BLOCK = ["com/", "www.example.com/en/"], ["example.com/en/", "net/es/", "net/fr/"]
+
+
+@query("op2_url_filter")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.url_filter import judge_pages
+
+    return judge_pages(table(spark, sf_dir, "pages"), ALLOW, BLOCK).drop("trust", "distrust")
+
+
+def url_oracle(rounds: int = 20, damping: float = 0.85, threshold: float = 0.5) -> str:
+    """The rules, the link graph and each round of propagation as a CTE."""
+    rest = "CASE WHEN position('://' IN {0}) > 0 THEN substr({0}, position('://' IN {0}) + 3) ELSE '' END"
+    lower = "translate(regexp_extract({0}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    listed = ", ".join(
+        f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{a}')" for a, rules in (("allow", ALLOW), ("block", BLOCK)) for r in rules
+    )
+    steps = ["SELECT kind, host, seed AS rank FROM start"]
+    for i in range(rounds):
+        steps.append(f"""SELECT kind, host, sum(rank) AS rank FROM (
+          SELECT kind, host, seed AS rank FROM start UNION ALL
+          SELECT s.kind, s.next AS host, {damping} * r.rank * s.share FROM r{i} r JOIN steps s ON r.kind = s.kind AND r.host = s.host) GROUP BY ALL""")
+    chain = ", ".join(f"r{i} AS MATERIALIZED ({s})" for i, s in enumerate(steps))
+    return rf"""
+    WITH rules(rule_host, rule_path, rule, action) AS (VALUES {listed}),
+    cut AS (SELECT row_number() OVER () AS n, page_id, html, {rest.format("coalesce(url, '')")} AS rest FROM pages),
+    parsed AS MATERIALIZED (SELECT n, page_id, html, {lower.format('rest')} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+    fits AS (
+      SELECT p.n, arg_max(struct_pack(rule := r.rule, action := r.action), length(r.rule)) AS hit
+      FROM parsed p JOIN rules r ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path)
+      GROUP BY p.n),
+    ruled AS MATERIALIZED (SELECT p.page_id, p.host, p.path, f.hit.rule AS rule, f.hit.action AS action FROM parsed p LEFT JOIN fits f ON p.n = f.n),
+    seeds AS (
+      SELECT host, avg(CASE WHEN action = 'allow' THEN 1.0 ELSE 0.0 END) AS trust, avg(CASE WHEN action = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
+      FROM ruled GROUP BY host),
+    start AS MATERIALIZED (SELECT 'trust' AS kind, host, trust AS seed FROM seeds WHERE trust > 0
+      UNION ALL SELECT 'distrust', host, distrust FROM seeds WHERE distrust > 0),
+    found AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)', 1)) AS link FROM parsed),
+    named AS (SELECT src, CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END AS link FROM found),
+    linked AS (SELECT src, {lower.format('(' + rest.format('link') + ')')} AS dst FROM named),
+    edges AS (SELECT src, dst, count(*) AS links FROM linked WHERE dst <> '' AND src <> '' AND dst <> src GROUP BY ALL),
+    sides AS (SELECT 'trust' AS kind, src AS host, dst AS next, links FROM edges UNION ALL SELECT 'distrust', dst, src, links FROM edges),
+    steps AS MATERIALIZED (SELECT kind, host, next, links / sum(links) OVER (PARTITION BY kind, host) AS share FROM sides),
+    {chain},
+    ranks AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust
+      FROM r{rounds} GROUP BY host)
+    SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action,
+      CASE WHEN k.distrust >= {threshold} AND k.distrust > k.trust THEN 'block' ELSE 'allow' END) AS verdict
+    FROM ruled p LEFT JOIN ranks k ON p.host = k.host
+    """
+
+
+ORACLE["op2_url_filter"] = url_oracle()

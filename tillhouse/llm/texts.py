@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text worked on at once; a longer single text is worked on alone.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 32 << 20
 
 
 def whole(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -33,14 +33,30 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
-def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Split at runs of ``[\\x20\\x09-\\x0D]``: pieces per row, a code per piece, and the text of each code."""
+def strings(column: pa.Array) -> list[str]:
+    """The texts of an array without nulls as a list."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Split at runs of ``[\\x20\\x09-\\x0D]``: pieces per row, a code per piece, and the text of each code.
+
+    A text that begins or ends with white space, or is empty, also gives an empty piece there.
+    """
     lists = pc.ascii_split_whitespace(texts)
-    offsets, flat = np.asarray(lists.offsets), lists.flatten()
-    filled = np.asarray(pc.not_equal(flat, ""))
-    rows = np.repeat(np.arange(len(texts)), np.diff(offsets))[filled]
-    coded = flat.filter(pa.array(filled)).dictionary_encode()
-    return np.bincount(rows, minlength=len(texts)), np.asarray(coded.indices), coded.dictionary.to_pylist()
+    coded = lists.flatten().dictionary_encode()
+    return np.diff(np.asarray(lists.offsets)).astype(np.int64), np.asarray(coded.indices), coded.dictionary
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """As ``pieces``, without the empty ones."""
+    counts, codes, vocabulary = pieces(texts)
+    names = strings(vocabulary)
+    if "" in names:
+        filled = codes != names.index("")
+        counts = row_sums(counts, filled.astype(np.int64))
+        codes = codes[filled]
+    return counts, codes, names
 
 
 def row_sums(counts: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.texts import pieces, row_sums, slices, whole
-from tillhouse.llm.tokenizing import encoder
+from tillhouse.llm.texts import pieces, row_sums, slices, strings, whole
+from tillhouse.llm.tokenizing import encoder, lowered
 
 #: Counters of a summary, and so rows of the broadcast table: 2 MB at most for pieces of usual length.
 TABLE_ROWS = 16_384
@@ -58,8 +58,8 @@ def frequent_pieces(docs: DataFrame, rows: int = TABLE_ROWS) -> list[str]:
         counts: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch):
-                _, codes, vocabulary = pieces(whole(part.column("text")))
-                for piece, n in zip(vocabulary, np.bincount(codes, minlength=len(vocabulary)).tolist()):
+                _, codes, vocabulary = pieces(lowered(whole(part.column("text"))))
+                for piece, n in zip(strings(vocabulary), np.bincount(codes, minlength=len(vocabulary)).tolist()):
                     if len(piece) <= PIECE_CHARS:
                         counts[piece] = counts.get(piece, 0) + n
                 counts = reduced(counts, rows)
@@ -95,17 +95,17 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, table_rows:
     """
     spark = docs.sparkSession
     pieces_known = frequent_pieces(docs, table_rows)
-    lengths = encoder(tokenizer).lengths_of(pieces_known).tolist()
+    lengths = encoder(tokenizer).lengths_of(pa.array(pieces_known, pa.string())).tolist()
     table = spark.sparkContext.broadcast(dict(zip(pieces_known, lengths)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = table.value
         for batch in batches:
             for part in slices(batch):
-                counts, codes, vocabulary = pieces(whole(part.column("text")))
-                length = np.fromiter((frequent.get(p, -1) for p in vocabulary), np.int64, len(vocabulary))
+                counts, codes, vocabulary = pieces(lowered(whole(part.column("text"))))
+                length = np.fromiter((frequent.get(p, -1) for p in strings(vocabulary)), np.int64, len(vocabulary))
                 missed = np.flatnonzero(length < 0)
-                length[missed] = encoder(tokenizer).lengths_of([vocabulary[i] for i in missed])
+                length[missed] = encoder(tokenizer).lengths_of(vocabulary.take(pa.array(missed)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.array(row_sums(counts, length[codes]), pa.int64())],
                     ["doc_id", "n_bytes", "n_tokens"],

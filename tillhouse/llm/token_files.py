@@ -1,9 +1,10 @@
 """Token ids of a corpus as wavelet-matrix shards, one compressed file per shard.
 
 Documents are range-partitioned by their order and sorted inside each partition.  A task encodes its
-documents one after another and closes a shard when it holds ``shard_tokens`` ids, so its memory is
-bound by one shard and one document.  A shard is one row of a Parquet table whose writer starts a new
-file for every row: Spark's commit protocol then covers the files, and any reader of Spark opens them.
+documents one after another and closes a matrix when it holds ``matrix_tokens`` ids, so its memory is
+bound by one matrix and one document.  A matrix is one row of a Parquet table, and a file is a shard of up
+to ``SHARD_MATRICES`` of them: Spark's commit protocol then covers the files, and any reader of Spark opens
+them.
 
 Rows with a null id come first.  Rows of the same id follow one another in the order of their texts; a
 repeated row is encoded each time.  A null text is empty; an empty document holds the end id only.  An
@@ -22,12 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.llm.texts import pieces, slices, whole
-from tillhouse.llm.tokenizing import encoder
+from tillhouse.llm.tokenizing import Encoder, encoder, lowered
 from tillhouse.llm.wavelet import WaveletMatrix
 from tillhouse.session import shared_folder
 
-#: Ids of a shard, 17 MB before compression.
-SHARD_TOKENS = 1 << 23
+#: Ids of a matrix: its levels stay in a CPU's cache while it is built.  With the ranks it takes 2.2 MB.
+MATRIX_TOKENS = 1 << 20
+#: Matrices of a shard file.
+SHARD_MATRICES = 32
 
 SHARD = pa.schema([
     ("part", pa.int64()), ("seq", pa.int64()), ("n", pa.int64()), ("zeros", pa.list_(pa.int64())), ("planes", pa.list_(pa.binary())),
@@ -38,7 +41,7 @@ DOCUMENT_DDL = "part long, seq long, doc_id long, before long, n_tokens long, id
 
 
 def pack(part: int, seq: int, ids: np.ndarray, bits: int, doc_ids: list, lengths: list[int]) -> pa.RecordBatch:
-    """One shard as a row."""
+    """One matrix as a row."""
     m = WaveletMatrix.build(ids, bits)
     row = {
         "part": part, "seq": seq, "n": m.n, "zeros": m.zeros, "planes": [p.tobytes() for p in m.planes],
@@ -48,14 +51,14 @@ def pack(part: int, seq: int, ids: np.ndarray, bits: int, doc_ids: list, lengths
 
 
 def unpack(row: dict) -> WaveletMatrix:
-    """The matrix of a shard's row; ``row`` may come from ``collect`` as well."""
+    """The matrix of a row; ``row`` may come from ``collect`` as well."""
     return WaveletMatrix(
         row["n"], [np.frombuffer(p, np.uint8) for p in row["planes"]], [np.frombuffer(r, "<u4") for r in row["ranks"]], list(row["zeros"]),
     )
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS, order: list[Column] | None = None,
+    docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, matrix_tokens: int = MATRIX_TOKENS, order: list[Column] | None = None,
 ) -> None:
     """Encode ``docs`` (doc_id, text) in ascending doc_id order, or by ``order``, into shard files under ``path``."""
     keys = order or [docs["doc_id"].cast("long")]
@@ -82,8 +85,8 @@ def write_tokens(
                 ends = np.cumsum(sizes)
                 first = 0
                 while first < len(sizes):
-                    room = shard_tokens - held
-                    last = int(np.searchsorted(ends, start + room, side="left")) + 1  # the document that fills the shard belongs to it
+                    room = matrix_tokens - held
+                    last = int(np.searchsorted(ends, start + room, side="left")) + 1  # the document that fills the matrix belongs to it
                     last = min(last, len(sizes))
                     stop = int(ends[last - 1])
                     ids.append(here[start:stop])
@@ -91,31 +94,28 @@ def write_tokens(
                     lengths += sizes[first:last].tolist()
                     held += stop - start
                     first, start = last, stop
-                    if held >= shard_tokens:
+                    if held >= matrix_tokens:
                         yield pack(part, seq, np.concatenate(ids), bits, doc_ids, lengths)
                         seq, held, ids, doc_ids, lengths = seq + 1, 0, [], [], []
         if doc_ids:
             yield pack(part, seq, np.concatenate(ids), bits, doc_ids, lengths)
 
     shards = ordered.mapInArrow(encode, SHARD_DDL)
-    shards.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
+    shards.write.option("maxRecordsPerFile", SHARD_MATRICES).option("compression", "zstd").parquet(path)
 
 
-def encoded(batch: pa.RecordBatch, tool, end_id: int, kind) -> tuple[np.ndarray, np.ndarray]:
+def encoded(batch: pa.RecordBatch, tool: Encoder, end_id: int, kind) -> tuple[np.ndarray, np.ndarray]:
     """The ids of a batch's documents one after another, each with the end id, and how many each has."""
-    counts, codes, vocabulary = pieces(whole(batch.column("text")))
-    ids = tool.ids_of(vocabulary)
-    size = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-    # the end id becomes one more entry of the vocabulary, placed after the pieces of each row
-    flat = np.concatenate([*ids, [end_id]]).astype(kind)
-    size = np.append(size, 1)
-    begin = np.cumsum(size) - size
-    ends = np.cumsum(counts)
-    laid = np.insert(codes.astype(np.int64), ends, len(ids))
+    counts, codes, vocabulary = pieces(lowered(whole(batch.column("text"))))
+    flat, begin, size = tool.ids_of(vocabulary)
+    end = len(size)  # the end id as one more piece, laid after the pieces of each row
+    flat, begin, size = np.append(flat, end_id).astype(kind), np.append(begin, len(flat)), np.append(size, 1).astype(np.int32)
+    laid = np.insert(codes, np.cumsum(counts), end)
     each = size[laid]
     stops = np.cumsum(each)
-    at = np.arange(int(each.sum())) + np.repeat(begin[laid] - (stops - each), each)
-    row_ends = stops[ends + np.arange(len(counts))] if len(counts) else np.zeros(0, np.int64)
+    at = np.repeat((begin[laid] - (stops - each)).astype(np.int32), each)
+    at += np.arange(len(at), dtype=np.int32)
+    row_ends = stops[np.cumsum(counts) + np.arange(len(counts))]
     return flat[at], np.diff(row_ends, prepend=0)
 
 
@@ -144,13 +144,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
-    """The ids before each shard: sums inside a partition, and over one row per partition."""
-    small = shards.select("part", "seq", "n")
-    parts = small.groupBy("part").agg(F.sum("n").alias("n"))
+    """The ids before each matrix: sums inside a partition, and over one row per partition."""
+    rows = shards.select("part", "seq", "n")
+    parts = rows.groupBy("part").agg(F.sum("n").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inside = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (
-        small.withColumn("inside", inside).join(parts.select("part", before.alias("part_start")), "part")
+        rows.withColumn("inside", inside).join(parts.select("part", before.alias("part_start")), "part")
         .select("part", "seq", (F.col("part_start") + F.col("inside")).alias("shard_start"))
     )
 

@@ -13,6 +13,8 @@ import numpy as np
 
 #: Bits between two entries of a rank directory.
 BLOCK = 512
+#: Ids moved at once, so that what they need stays in the CPU's cache.
+RUN = 1 << 17
 
 
 def ones_before_blocks(plane: np.ndarray) -> np.ndarray:
@@ -37,13 +39,19 @@ class WaveletMatrix:
         level = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, ranks, zeros = [], [], []
         for k in range(bits - 1, -1, -1):
-            bit = ((level >> k) & 1).astype(bool)
+            bit = (level & level.dtype.type(1 << k)) != 0
             packed = np.packbits(bit, bitorder="little")
-            ones = np.flatnonzero(bit)
             planes.append(packed)
             ranks.append(ones_before_blocks(packed))
-            zeros.append(len(level) - len(ones))
-            level = np.concatenate([level[np.flatnonzero(~bit)], level[ones]])
+            zeros.append(len(level) - int(np.count_nonzero(bit)))
+            below, z, o = np.empty_like(level), 0, zeros[-1]
+            for at in range(0, len(level), RUN):
+                run, here = level[at:at + RUN], bit[at:at + RUN]
+                ones, nils = run.take(np.flatnonzero(here)), run.take(np.flatnonzero(~here))
+                below[z:z + len(nils)] = nils
+                below[o:o + len(ones)] = ones
+                z, o = z + len(nils), o + len(ones)
+            level = below
         return cls(len(ids), planes, ranks, zeros)
 
     def decode(self) -> np.ndarray:
@@ -51,10 +59,15 @@ class WaveletMatrix:
         bits = len(self.planes)
         level = np.zeros(self.n, np.uint16 if bits <= 16 else np.uint32)
         for k, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
-            bit = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
-            above = np.empty_like(level)
-            above[np.flatnonzero(~bit)] = level[:zeros]
-            above[np.flatnonzero(bit)] = level[zeros:] | level.dtype.type(1 << k)
+            bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            level[zeros:] |= level.dtype.type(1 << k)
+            above, z, o = np.empty_like(level), 0, zeros
+            for at in range(0, self.n, RUN):
+                here, run = bit[at:at + RUN], above[at:at + RUN]
+                ones, nils = np.flatnonzero(here), np.flatnonzero(~here)
+                run[nils] = level[z:z + len(nils)]
+                run[ones] = level[o:o + len(ones)]
+                z, o = z + len(nils), o + len(ones)
             level = above
         return level.astype(np.uint32)
 
