@@ -139,3 +139,30 @@ def url_oracle(rounds: int = 20, damping: float = 0.85, threshold: float = 0.5)
 
 
 ORACLE["op2_url_filter"] = url_oracle()
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.ordinal import grade, train
+
+    docs = table(spark, sf_dir, "documents")
+    return grade(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Target weights of the mixture: src0, by far the largest source, gets a fifth, the others shares that rise in steps.
+TARGETS = {"src0": 20.0} | {f"src{i}": 2.0 + i % 5 for i in range(1, 20)}
+
+
+@query("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.pfair import mix
+
+    rows = mix(table(spark, sf_dir, "documents").select("doc_id", "source"), TARGETS)
+    return rows.select("doc.doc_id", "doc.source", "block", "slot", "released", "due", "place")

@@ -93,6 +93,7 @@ def judge_pages(pages: DataFrame, allow: list[str], block: list[str], threshold:
     host, path = host_and_path(pages["url"])
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rules = host_rules(rows.select("host").distinct(), parse_rules(pages.sparkSession, allow, block))
+    rules = materialise(rules, "url-rules")  # of known size: if small, pages needn't move to their host's task
     first = F.try_element_at(F.filter("host_rules", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(1))
     ruled = rows.join(rules, "host", "left").withColumn("hit", first).drop("host_rules")
     share = lambda action: F.avg(F.when(F.col("hit.action") == action, 1.0).otherwise(0.0))
