@@ -166,3 +166,33 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = mix(table(spark, sf_dir, "documents").select("doc_id", "source"), TARGETS)
     return rows.select("doc.doc_id", "doc.source", "block", "slot", "released", "due", "place")
+
+
+@query("op3_near_dedup")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_near_dedup"] = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingled AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM docs
+), sized AS MATERIALIZED (SELECT doc_id, len(s) AS n FROM shingled),
+flat AS MATERIALIZED (SELECT doc_id, hash(unnest(s)) AS h FROM shingled),
+links AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM flat x JOIN flat y ON x.h = y.h JOIN sized p ON p.doc_id = x.doc_id JOIN sized q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 75 * (any_value(p.n) + any_value(q.n) - count(*))
+), reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id
+), least AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sized s JOIN least l ON s.doc_id = l.doc_id
+"""
