@@ -196,3 +196,53 @@ links AS MATERIALIZED (
 SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
 FROM sized s JOIN least l ON s.doc_id = l.doc_id
 """
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.spotsigs import fingerprints, likeness
+
+    rows = fingerprints(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        F.array_join("own", "").alias("fingerprint"), F.array_join("edited_own", "").alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("edited_own")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+    )
+
+
+def spot_sql() -> str:
+    from tillhouse.llm.spotsigs import common_words
+
+    listed = ", ".join(f"'{w}'" for w in common_words())
+    return rf"""
+    WITH docs AS (
+      SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC), first(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next_text
+      FROM documents
+    ), edits AS MATERIALIZED (
+      SELECT doc_id, text, substr(text, 1, length(text) - length(text) // 2) || substr(next_text, 1, length(text) // 2) AS edited_text, next_text FROM docs
+    ), texts AS (
+      SELECT doc_id, 'own' AS kind, text FROM edits UNION ALL SELECT doc_id, 'edited', edited_text FROM edits UNION ALL SELECT doc_id, 'next', next_text FROM edits
+    ), words AS (
+      SELECT doc_id, kind, text, list_filter(string_split(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w FROM texts
+    ), content AS (
+      SELECT doc_id, kind, text, w, list_filter(range(1, len(w) + 1), lambda i: NOT list_contains([{listed}], w[i])) AS spots FROM words
+    ), chains AS (
+      SELECT doc_id, kind, text, list_transform(list_filter(range(1, len(spots) + 1), lambda k: k = 1 OR spots[k] - spots[k - 1] > 1), lambda k:
+        ' ' || w[spots[k]] || ' ' || CASE WHEN k < len(spots) THEN CASE WHEN spots[k + 1] - spots[k] > 1 THEN '# ' ELSE '' END || w[spots[k + 1]] || ' ' ELSE '' END) AS c
+      FROM content
+    ), sets AS MATERIALIZED (
+      SELECT doc_id, kind, CASE WHEN len(c) > 0 THEN list_sort(list_distinct(list_transform(c, lambda x: substr(md5(x), 1, 8))))
+        WHEN text = '' THEN [] ELSE [substr(md5(text), 1, 8)] END AS s
+      FROM chains
+    ), wide AS (
+      SELECT doc_id, any_value(s) FILTER (WHERE kind = 'own') AS own, any_value(s) FILTER (WHERE kind = 'edited') AS edited, any_value(s) FILTER (WHERE kind = 'next') AS next_own
+      FROM sets GROUP BY doc_id
+    )
+    SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.edited_text) AS edited_sha256, array_to_string(own, '') AS fingerprint, array_to_string(edited, '') AS edited_fingerprint,
+      CASE WHEN own = edited THEN 1.0::DOUBLE ELSE len(list_intersect(own, edited))::DOUBLE / (len(own) + len(edited) - len(list_intersect(own, edited))) END AS near_edited,
+      CASE WHEN own = next_own THEN 1.0::DOUBLE ELSE len(list_intersect(own, next_own))::DOUBLE / (len(own) + len(next_own) - len(list_intersect(own, next_own))) END AS near_next
+    FROM edits e JOIN wide ON e.doc_id = wide.doc_id
+    """
+
+
+ORACLE["op5_fingerprints"] = spot_sql()
