@@ -246,3 +246,10 @@ def spot_sql() -> str:
 
 
 ORACLE["op5_fingerprints"] = spot_sql()
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.licences import licence_report
+
+    return licence_report(table(spark, sf_dir, "documents"))
