@@ -13,24 +13,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers started from the same file system find the package, from whatever folder the driver runs."""
+def importable(fn):
+    """Let Python workers on the same file system find the package, from whatever folder the driver runs."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        environment = spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return fn(spark, *args)
+
+    return run
 
 
 def query(name: str):
     def register(fn):
-        @functools.wraps(fn)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable(spark)
-            return fn(spark, sf_dir)
-
-        QUERIES[name] = run
-        return run
+        QUERIES[name] = importable(fn)
+        return QUERIES[name]
 
     return register
 

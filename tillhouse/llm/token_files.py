@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tillhouse.llm.texts import pieces, slices, whole
 from tillhouse.llm.tokenizing import Encoder, encoder, lowered
@@ -155,6 +156,18 @@ def shard_starts(shards: DataFrame) -> DataFrame:
     )
 
 
+def file_order(docs: DataFrame) -> list[Column] | None:
+    """The order in which ``docs`` was written: number of the part file, then row; None if it isn't read from files."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta["file_name"])
+    except AnalysisException:
+        return None
+    number = F.regexp_extract(meta["file_name"], "part-(\\d+)", 1).try_cast("long")
+    further = F.regexp_extract(meta["file_name"], "-c(\\d+)", 1).try_cast("long")
+    return [number, further, meta["row_index"]]
+
+
 def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = 2, order: list[Column] | None = None) -> DataFrame:
     """Write the shard files to the shared folder and report every document as read back from them."""
     path = f"{shared_folder(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
