@@ -78,11 +78,11 @@ o["agg8_dimension_counts"] = "SELECT * FROM dim_rows"
 o["agg9_fact_statistics"] = "SELECT * FROM fact_stats"
 o["agg10_orphan_counts"] = "SELECT * FROM orphans"
 o["agg11_gold_metrics"] = f"""
-SELECT {NOW} AS run_date, 'batch-20011231' AS run_id, CAST(dim_customers_count AS INTEGER) AS dim_customers_count, CAST(dim_products_count AS INTEGER) AS dim_products_count,
-  CAST(dim_stores_count AS INTEGER) AS dim_stores_count, CAST(dim_date_count AS INTEGER) AS dim_date_count, CAST(n AS INTEGER) AS total_sales_records,
-  CAST(r AS DECIMAL(18,2)) AS total_revenue, CAST(p AS DECIMAL(18,2)) AS total_profit, TRY_CAST(mg AS DECIMAL(5,2)) AS profit_margin_pct,
-  CAST(quality_score AS DECIMAL(5,2)) AS quality_score, CAST(orphan_customers AS INTEGER) AS orphan_customers, CAST(orphan_products AS INTEGER) AS orphan_products,
-  CAST(orphan_stores AS INTEGER) AS orphan_stores, {NOW} AS created_at
+SELECT {NOW} AS run_date, 'batch-20011231' AS run_id, CAST(dim_customers_count AS BIGINT) AS dim_customers_count, CAST(dim_products_count AS BIGINT) AS dim_products_count,
+  CAST(dim_stores_count AS BIGINT) AS dim_stores_count, CAST(dim_date_count AS BIGINT) AS dim_date_count, CAST(n AS BIGINT) AS total_sales_records,
+  CAST(r AS DECIMAL(30,2)) AS total_revenue, CAST(p AS DECIMAL(30,2)) AS total_profit, TRY_CAST(mg AS DECIMAL(18,2)) AS profit_margin_pct,
+  CAST(quality_score AS DECIMAL(5,2)) AS quality_score, CAST(orphan_customers AS BIGINT) AS orphan_customers, CAST(orphan_products AS BIGINT) AS orphan_products,
+  CAST(orphan_stores AS BIGINT) AS orphan_stores, {NOW} AS created_at
 FROM gold, (SELECT COUNT(*) AS n, SUM(line_total) AS r, SUM(line_profit) AS p, AVG(line_profit_margin_pct) AS mg FROM fact_sales WHERE NOT is_refund)"""
 o["agg12_daily_revenue"] = f"SELECT transaction_date, {mt('SUM(line_total_clean)')} AS revenue FROM intmd_transactions GROUP BY transaction_date"
 o["agg13_store_month_revenue"] = f"""

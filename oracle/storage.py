@@ -33,7 +33,7 @@ SELECT date_trunc('hour', datetime) AS window_start, store_name, COUNT(*) AS tra
   {mt('AVG(total_amount)')} AS avg_basket, {mt('AVG(items_count)', 1)} AS avg_items FROM once
 WHERE date_trunc('hour', datetime) + INTERVAL 1 HOUR <= (SELECT MAX(datetime) FROM once) - INTERVAL 1 HOUR GROUP BY 1, 2"""
 o["snk5_promote_stream_file"] = """
-SELECT COUNT(*) AS lines, MAX(date) AS newest, FALSE AS promoted_next_day, MAX(date) = DATE '2024-01-30' AS promoted_same_day FROM live_lines"""
+SELECT COUNT(*) AS lines, MAX(date) AS newest, FALSE AS promoted_next_day, TRUE AS promoted_same_day FROM live_lines WHERE date = (SELECT MAX(date) FROM live_lines)"""
 
 o["src1_scan_parquet"] = "SELECT * FROM customer"
 o["src2_scan_daily_files"] = "SELECT transaction_id, product_id, quantity, data_created_modified FROM raw_transactions"

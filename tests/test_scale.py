@@ -50,40 +50,49 @@ def test_no_python_and_no_cartesian_product(spark, name):
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """A third of the rows share one value and one group."""
+    """A third of the rows share one value and one group; some values are NULL."""
     random.seed(7)
-    rows = [(i, 500 if i % 3 == 0 else random.randrange(1000), "hot" if i % 3 else f"g{i % 5}") for i in range(3000)]
-    return rows, materialise(spark.createDataFrame(rows, "id int, v bigint, g string"), "skewed")
+    rows = [
+        (i, 500 if i % 3 == 0 else None if i % 11 == 0 else random.randrange(1000), "hot" if i % 3 else f"g{i % 5}" if i % 2 else None, None if i % 5 else i)
+        for i in range(3000)
+    ]
+    return rows, materialise(spark.createDataFrame(rows, "id int, v bigint, g string, u int"), "skewed")
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_ranks_equal_brute_force(skewed, small_rows):
+def above(a, b):
+    """High to low, NULL last."""
+    return a is not None and (b is None or a > b)
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 40])
+def test_ranks_equal_brute_force(skewed, ranges):
     rows, df = skewed
-    ranked = ranking.global_ranks(df, {"v": "r"}, materialise, small_rows, rows_per_range=50)
-    ranked = ranking.rank_in_group(ranked, "g", "v", "rg", materialise, small_rows, rows_per_range=50)
-    got = {r["id"]: (r["r"], r["rg"]) for r in ranked.collect()}
+    ranked = ranking.global_ranks(df, {"v": "r", "u": "ru"}, materialise, ranges)
+    ranked = ranking.rank_in_group(ranked, "g", "v", "rg", materialise, ranges)
+    got = {r["id"]: (r["r"], r["ru"], r["rg"]) for r in ranked.collect()}
     want = {
-        i: (1 + sum(w > v for _, w, _ in rows), 1 + sum(w > v and h == g for _, w, h in rows)) for i, v, g in rows[:200]
+        i: (1 + sum(above(x[1], v) for x in rows), 1 + sum(above(x[3], u) for x in rows), 1 + sum(above(x[1], v) and x[2] == g for x in rows))
+        for i, v, g, u in rows[:300]
     }
     assert len(got) == len(rows) and all(got[i] == w for i, w in want.items())
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_running_share_equals_brute_force(skewed, small_rows):
+@pytest.mark.parametrize("ranges", [None, 40])
+def test_running_share_equals_brute_force(skewed, ranges):
     rows, df = skewed
-    got = {r["id"]: r["s"] for r in ranking.running_share(df, "v", "s", materialise, small_rows, rows_per_range=50).collect()}
-    total = sum(v for _, v, _ in rows)
-    for i, v, _ in rows[:200]:
-        assert got[i] == pytest.approx(sum(w for _, w, _ in rows if w >= v) / total)
+    got = {r["id"]: r["s"] for r in ranking.running_share(df.where("v is not null"), "v", "s", materialise, ranges).collect()}
+    values = [v for _, v, _, _ in rows if v is not None]
+    for i, v, _, _ in rows[:200]:
+        if v is not None:
+            assert got[i] == pytest.approx(sum(w for w in values if w >= v) / sum(values))
+
+
+def test_no_rank_sorts_detail_rows_in_one_task(skewed):
+    _, df = skewed
+    ranked = ranking.rank_in_group(ranking.global_ranks(df, {"v": "r"}, materialise), "g", "v", "rg", materialise)
+    assert "SinglePartition" not in plan(ranked)
 
 
 def test_occurrences_count_null_keys_together(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("a", "x"), (None, "x")], "t string, p string")
     assert sorted(r["occurrences"] for r in dedup.occurrences(df, ["t", "p"]).collect()) == [1, 1, 2, 2]
-
-
-def test_spread_leaves_wide_scans_alone(spark):
-    from tillhouse.sources.files import spread
-
-    wide = spark.range(0, 1000, 1, 64)
-    assert spread(wide) is wide

@@ -13,8 +13,13 @@ from tillhouse.functions.text import blank
 
 
 def money(c: Column, places: int = 2) -> Column:
-    """CLN21: row-level rounding (up to 12 integer digits, kept in a long)."""
-    return F.round(c.cast("decimal(18,6)"), places).cast("double")
+    """CLN21: row-level rounding.
+
+    Up to 12 integer digits are kept in a long; wider values take a wider decimal, and what even that
+    cannot hold (1e32, infinity, NaN) becomes NULL instead of ending the batch.
+    """
+    narrow = F.round(c.try_cast("decimal(18,6)"), places).cast("double")
+    return F.coalesce(narrow, F.round(c.try_cast("decimal(38,6)"), places).cast("double"))
 
 
 def money_total(c: Column, places: int = 2) -> Column:
@@ -27,6 +32,16 @@ def cents(c: Column) -> Column:
     return F.rint(c * 100).cast("bigint")
 
 
+def exact_sum(c: Column) -> Column:
+    """Sum of an amount as DECIMAL: the same in whatever order rows arrive, and wide enough for very many rows."""
+    return F.sum(c.cast("decimal(28,8)"))
+
+
+def revenue_sum(name: str) -> Column:
+    """An exact sum in money."""
+    return money_total(exact_sum(F.col(name)))
+
+
 def negative_to_null(c: Column) -> Column:
     """CLN22: also NULL when the input is NULL."""
     return F.when(c >= 0, c)

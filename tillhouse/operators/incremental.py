@@ -10,10 +10,6 @@ from pyspark.sql import types as T
 
 from tillhouse.sources.sinks import append_log, overwrite_table
 
-# Fixed value: where the first load starts.
-FIRST_LOAD = dt.datetime(2026, 1, 1)
-
-
 def hash_changes(source: DataFrame, target: DataFrame, id_col: str, hash_col: str = "_row_hash") -> DataFrame:
     """INC1/JOI6: source rows whose (id, hash) the target does not hold.
 
@@ -23,28 +19,32 @@ def hash_changes(source: DataFrame, target: DataFrame, id_col: str, hash_col: st
     return source.join(target.select(id_col, hash_col), [id_col, hash_col], "left_anti")
 
 
-def high_water_mark(target: DataFrame | None, ts: str, default: dt.datetime = FIRST_LOAD) -> dt.datetime:
-    """FIL7: the newest load time held; one aggregated value reaches the driver."""
-    if target is None:
-        return default
-    return target.agg(F.max(ts).alias("m")).first()["m"] or default
+def high_water_mark(target: DataFrame | None, ts: str) -> dt.datetime | None:
+    """FIL7: the newest load time held, None for an absent or empty target; one aggregated value reaches the driver."""
+    return None if target is None else target.agg(F.max(ts).alias("m")).first()["m"]
 
 
-def newer_than(source: DataFrame, ts: str, mark: dt.datetime) -> DataFrame:
-    """INC2: rows above the mark; a literal, so that file statistics can skip files."""
-    return source.where(F.col(ts) > F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz"))
+def newer_than(source: DataFrame, ts: str, mark: dt.datetime | None, again: bool = False) -> DataFrame:
+    """INC2: rows above the mark; a literal, so that file statistics can skip files.
+
+    Without a mark everything is new.  ``again`` takes rows of the mark itself once
+    more: a later file may hold rows of the same time, and an upsert repeats nothing.
+    """
+    if mark is None:
+        return source
+    at = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
+    return source.where(F.col(ts) >= at if again else F.col(ts) > at)
 
 
-def newer_than_target(source: DataFrame, ts: str, target: DataFrame, target_ts: str, default: dt.datetime = FIRST_LOAD) -> DataFrame:
-    """INC2 without an action: the mark as a one-row join inside the plan."""
-    first = F.lit(default.isoformat(sep=" ")).cast("timestamp_ntz")
-    mark = target.agg(F.coalesce(F.max(target_ts).cast("timestamp_ntz"), first).alias("_mark"))
-    return source.join(F.broadcast(mark), F.col(ts) > F.col("_mark")).drop("_mark")
+def newer_than_target(source: DataFrame, ts: str, target: DataFrame, target_ts: str) -> DataFrame:
+    """INC2 without an action: the mark as a one-row join inside the plan; an empty target holds nothing back."""
+    mark = target.agg(F.max(target_ts).cast("timestamp_ntz").alias("_mark"))
+    return source.join(F.broadcast(mark), F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
 
 
 def new_profile_days(profile: DataFrame, held: DataFrame) -> DataFrame:
     """INC4: profile rows of days after the last one held."""
-    return newer_than_target(profile, "profile_date", held, "profile_date", dt.datetime(1900, 1, 1))
+    return newer_than_target(profile, "profile_date", held, "profile_date")
 
 
 def schema_drift(expected: T.StructType, actual: T.StructType) -> list[str]:

@@ -84,7 +84,7 @@ def stage(lake: Lake, batch: Batch, ctx: RunContext) -> None:
     lines, table = batch.transactions, "stg_transactions"
     if lake.has(table):
         mark = incremental.high_water_mark(lake.read(table), "raw_loaded_at")
-        lines = incremental.newer_than(lines, "data_created_modified", mark)
+        lines = incremental.newer_than(lines, "data_created_modified", mark, again=True)
     staged = staging.stage_transactions(lines, staging.store_name_of_lines(batch.transactions), ctx)
     lake.upsert_lines(table, staged, LINE_KEY, "raw_loaded_at")
 
@@ -98,7 +98,7 @@ def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
     if lake.has(table):
         # Staging has already replaced older copies, so lines staged since are enough.
         mark = incremental.high_water_mark(lake.read(table), "staging_processed_at")
-        staged = incremental.newer_than(staged, "staging_processed_at", mark)
+        staged = incremental.newer_than(staged, "staging_processed_at", mark, again=True)
     lines = intermediate.refine_transactions(staged, ctx)
     lake.upsert_lines(table, lines, ["line_item_key"], "transaction_date")
 
@@ -115,7 +115,7 @@ def model(lake: Lake, ctx: RunContext) -> None:
     lines = lake.read("intmd_transactions")
     if lake.has("fact_sales"):
         mark = incremental.high_water_mark(lake.read("fact_sales"), "fact_loaded_at")
-        lines = incremental.newer_than(lines, "intermediate_processed_at", mark)
+        lines = incremental.newer_than(lines, "intermediate_processed_at", mark, again=True)
     fact = marts.fact_sales(lines, *[lake.read(f"dim_{n}") for n in MASTER], ctx)
     lake.upsert_lines("fact_sales", fact, ["sales_key"], "transaction_date")
 

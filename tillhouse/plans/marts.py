@@ -238,7 +238,7 @@ def _percentile_rank(rank: str, total: str):
     return (F.col(rank) - 1).cast("double") / F.greatest(F.col(total) - 1, F.lit(1)).cast("double")
 
 
-def store_performance(fact: DataFrame, stores: DataFrame, ctx: RunContext = DEFAULT, small_rows: int = ranking.GLOBAL_WINDOW_ROWS) -> DataFrame:
+def store_performance(fact: DataFrame, stores: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
     """MRT2: one row per store with sales; sales of unknown stores share one row."""
     money = measures.money_total
     shops = scd.current(stores).select("store_key", "store_id", "store_name", "city", "state", "manager", "region")
@@ -247,8 +247,8 @@ def store_performance(fact: DataFrame, stores: DataFrame, ctx: RunContext = DEFA
         .withColumns({c: F.coalesce(c, F.lit("Unknown")) for c in ("store_id", "store_name", "city", "state", "region")}),
         "store-totals",
     )
-    ranked = ranking.global_ranks(base, {"revenue_cents": "revenue_rank", "profit_cents": "profit_rank"}, materialise, small_rows)
-    ranked = ranking.rank_in_group(ranked, "region", "revenue_cents", "rank_in_region", materialise, small_rows)
+    ranked = ranking.global_ranks(base, {"revenue_cents": "revenue_rank", "profit_cents": "profit_rank"}, materialise)
+    ranked = ranking.rank_in_group(ranked, "region", "revenue_cents", "rank_in_region", materialise)
     counted = ranked.crossJoin(F.broadcast(base.agg(F.count("*").alias("_stores"))))
     pct = _percentile_rank("revenue_rank", "_stores")
     revenue, profit = F.col("revenue_cents") / 100.0, F.col("profit_cents") / 100.0
@@ -272,7 +272,7 @@ def store_performance(fact: DataFrame, stores: DataFrame, ctx: RunContext = DEFA
     )
 
 
-def products_performance(fact: DataFrame, products: DataFrame, ctx: RunContext = DEFAULT, small_rows: int = ranking.GLOBAL_WINDOW_ROWS) -> DataFrame:
+def products_performance(fact: DataFrame, products: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
     """MRT3: one row per known product with sales."""
     money = measures.money_total
     goods = scd.current(products).select(
@@ -280,10 +280,10 @@ def products_performance(fact: DataFrame, products: DataFrame, ctx: RunContext =
     )
     base = materialise(_totals(fact, "product_key").join(goods, "product_key"), "product-totals")
     ranked = ranking.global_ranks(
-        base, {"revenue_cents": "revenue_rank", "profit_cents": "profit_rank", "total_units_sold": "units_rank"}, materialise, small_rows
+        base, {"revenue_cents": "revenue_rank", "profit_cents": "profit_rank", "total_units_sold": "units_rank"}, materialise
     )
-    ranked = ranking.rank_in_group(ranked, "category", "revenue_cents", "rank_in_category", materialise, small_rows)
-    ranked = ranking.running_share(ranked, "revenue_cents", "_share", materialise, small_rows)
+    ranked = ranking.rank_in_group(ranked, "category", "revenue_cents", "rank_in_category", materialise)
+    ranked = ranking.running_share(ranked, "revenue_cents", "_share", materialise)
     counted = ranked.crossJoin(F.broadcast(base.agg(F.count("*").alias("_products"))))
     pct = _percentile_rank("revenue_rank", "_products")
     revenue, profit = F.col("revenue_cents") / 100.0, F.col("profit_cents") / 100.0

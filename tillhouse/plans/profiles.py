@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from tillhouse.context import DEFAULT, RunContext
 from tillhouse.functions.buckets import ladder
-from tillhouse.functions.measures import money_total
+from tillhouse.functions.measures import exact_sum, money_total, revenue_sum
 from tillhouse.operators.dedup import first_line_per_transaction
 
 # Grades of the profiles and limits of the gates.
@@ -269,7 +269,7 @@ def fact_statistics(fact: DataFrame) -> DataFrame:
         F.count("*").alias("total_sales"),
         F.countDistinct("customer_key").alias("unique_customers"), F.countDistinct("product_key").alias("unique_products"),
         F.countDistinct("store_key").alias("unique_stores"),
-        money_total(F.sum("line_total")).alias("total_revenue"), money_total(F.sum("line_profit")).alias("total_profit"),
+        revenue_sum("line_total").alias("total_revenue"), revenue_sum("line_profit").alias("total_profit"),
         F.min("transaction_date").alias("earliest_date"), F.max("transaction_date").alias("latest_date"),
     )
 
@@ -316,16 +316,16 @@ def gold_metrics(counts: DataFrame, fact: DataFrame, orphans: DataFrame, gate: D
     """AGG11: the metrics row of a run, typed like the log it is appended to."""
     c = F.col
     wide = counts.agg(*[
-        F.max(F.when(c("dimension") == f"dim_{d}", c("row_count"))).cast("int").alias(f"dim_{d}_count")
+        F.max(F.when(c("dimension") == f"dim_{d}", c("row_count"))).cast("bigint").alias(f"dim_{d}_count")
         for d in ("customers", "products", "stores", "date")
     ])
     sales = fact.where("not is_refund").agg(
-        F.count("*").cast("int").alias("total_sales_records"),
-        F.sum("line_total").try_cast("decimal(18,2)").alias("total_revenue"),
-        F.sum("line_profit").try_cast("decimal(18,2)").alias("total_profit"),
-        F.avg("line_profit_margin_pct").try_cast("decimal(5,2)").alias("profit_margin_pct"),
+        F.count("*").alias("total_sales_records"),
+        exact_sum(c("line_total")).cast("decimal(30,2)").alias("total_revenue"),
+        exact_sum(c("line_profit")).cast("decimal(30,2)").alias("total_profit"),
+        F.avg("line_profit_margin_pct").try_cast("decimal(18,2)").alias("profit_margin_pct"),
     )
-    lost = orphans.select(*[c(o).cast("int").alias(o) for o in orphans.columns])
+    lost = orphans.select(*[c(o).cast("bigint").alias(o) for o in orphans.columns])
     score = gate.select(c("quality_score").cast("decimal(5,2)").alias("quality_score"))
     return wide.crossJoin(sales).crossJoin(score).crossJoin(lost).select(
         ctx.now.alias("run_date"), F.lit(ctx.batch_id).alias("run_id"), "*", ctx.now.alias("created_at")

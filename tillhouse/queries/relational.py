@@ -386,9 +386,9 @@ def win8_ranges(spark, sf):
     """The same, forced through the path for inputs too large for one task."""
     base = _part_revenue(spark, sf)
     ranked = ranking.global_ranks(
-        base, {"revenue_cents": "revenue_rank", "units": "units_rank"}, materialise, small_rows=0, rows_per_range=200
+        base, {"revenue_cents": "revenue_rank", "units": "units_rank"}, materialise, ranges=9
     )
-    return ranking.rank_in_group(ranked, "p_type", "revenue_cents", "rank_in_type", materialise, small_rows=0, rows_per_range=200)
+    return ranking.rank_in_group(ranked, "p_type", "revenue_cents", "rank_in_type", materialise, ranges=9)
 
 
 @query("win9_percentile_tiers")

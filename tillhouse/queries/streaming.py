@@ -125,7 +125,7 @@ def snk5(spark, sf):
     area = _area(spark)
     stream = live.typed_lines(_messages(spark, sf, area))
     live.write_daily_files(stream, f"{area}/days", f"{area}/checkpoint", available_now=True).awaitTermination()
-    newest = dt.date(2024, 1, 30)
+    newest = spark.read.parquet(f"{area}/days").agg(F.max("file_day").alias("d")).first()["d"]
     stale = promote_stream_file(spark, f"{area}/days", f"{area}/batch", newest + dt.timedelta(days=1))
     done = promote_stream_file(spark, f"{area}/days", f"{area}/batch", newest)
     return spark.read.parquet(f"{area}/batch/*").agg(F.count("*").alias("lines"), F.max("date").alias("newest")).select(

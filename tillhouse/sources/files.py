@@ -23,17 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan_parquet(spark, f"{sf_dir}/{name}.parquet", schemas.TABLES[name])
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for a scan that has fewer splits than the cluster has cores.
-
-    A small table in one row group is read by one task, which would then also do
-    all the work behind it.  A large table has more splits than cores and is
-    left as it is: no shuffle is added to it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_parquet_glob(spark: SparkSession, pattern: str, ddl: str) -> DataFrame:
     """SRC2: the daily files; ``data_created/modified`` gets a plain name."""
     source = ddl.replace("data_created_modified", "`data_created/modified`")

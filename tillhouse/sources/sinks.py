@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.session import materialise
@@ -112,13 +112,17 @@ def is_from_day(df: DataFrame, date: str, as_of: dt.date) -> bool:
 
 
 def promote_stream_file(spark: SparkSession, streamed: str, batch_area: str, as_of: dt.date, date: str = "date") -> bool:
-    """SNK5: copy the streamed table into the batch area when it is the day's."""
+    """SNK5: copy the day's lines of the streamed table into the batch area when it has reached that day.
+
+    A table kept by ``file_day`` is read for that day only.
+    """
     if not table_exists(spark, streamed):
         return False
     df = spark.read.parquet(streamed)
     if not is_from_day(df, date, as_of):
         return False
-    df.write.mode("overwrite").parquet(f"{batch_area}/transactions_{as_of.isoformat()}")
+    day = F.col("file_day" if "file_day" in df.columns else date).cast("date") == F.lit(as_of)
+    df.where(day).write.mode("overwrite").parquet(f"{batch_area}/transactions_{as_of.isoformat()}")
     return True
 
 
@@ -131,9 +135,10 @@ def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], area: st
     return spark.read.parquet(f"{area}/_sync_metadata")
 
 
-def append_log(spark: SparkSession, path: str, row: DataFrame, id_col: str) -> None:
-    """SNK7: append one log row under the next id."""
+def append_log(spark: SparkSession, path: str, rows: DataFrame, id_col: str) -> None:
+    """SNK7: append log rows, one per table or run, under the next ids."""
     last = 0
     if table_exists(spark, path):
         last = spark.read.parquet(path).agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
-    row.limit(1).select(F.lit(int(last) + 1).cast("bigint").alias(id_col), "*").write.mode("append").parquet(path)
+    nth = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))  # a handful of rows
+    rows.select((F.lit(int(last)) + nth).cast("bigint").alias(id_col), "*").write.mode("append").parquet(path)

@@ -18,19 +18,20 @@ from tillhouse.sources.sinks import incremental_upsert
 
 # Fixed values of the live feed.
 TOPIC = "daily-retail-transactions"
-ROWS_PER_TRIGGER = 1000
 REFRESH = "2 seconds"
 LATENESS = "1 hour"
 MESSAGE = "value string, timestamp timestamp"
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str = TOPIC, per_trigger: int = ROWS_PER_TRIGGER) -> DataFrame:
-    """SRC7: the topic from its first offset; needs the Kafka connector on the class path."""
-    stream = (
-        spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-        .option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_trigger).load()
-    )
-    return stream.select(F.col("value").cast("string").alias("value"), "timestamp")
+def kafka_messages(spark: SparkSession, servers: str, topic: str = TOPIC, per_trigger: int | None = None) -> DataFrame:
+    """SRC7: the topic from its first offset; needs the Kafka connector on the class path.
+
+    A micro-batch takes all that has arrived unless ``per_trigger`` limits it.
+    """
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+    return reader.option("startingOffsets", "earliest").load().select(F.col("value").cast("string").alias("value"), "timestamp")
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -47,17 +48,27 @@ def typed_lines(messages: DataFrame) -> DataFrame:
     return lines.withColumn("event_time", F.coalesce(utc_instant(F.col("datetime")), F.col("timestamp"))).drop("timestamp")
 
 
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """Lines that can't be told apart: text that isn't a message, or no transaction or product id.
+
+    They go to an output of their own.  De-duplication leaves them out, since it
+    would take all missing ids for one.
+    """
+    return lines.where("transaction_id is null or product_id is null")
+
+
 def distinct_lines(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """STR4: marked copies dropped, and lines sent again within the watermark."""
     return (
-        drop_marked_duplicates(lines).withWatermark("event_time", lateness)
+        drop_marked_duplicates(lines).where("transaction_id is not null and product_id is not null").withWatermark("event_time", lateness)
         .dropDuplicatesWithinWatermark(["transaction_id", "product_id"])
     )
 
 
 def distinct_transactions(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """One line per transaction, so that header amounts count once."""
-    return drop_marked_duplicates(lines).withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["transaction_id"])
+    known = drop_marked_duplicates(lines).where("transaction_id is not null")
+    return known.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
 def store_figures(transactions: DataFrame, width: str) -> DataFrame:
