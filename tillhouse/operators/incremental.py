@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.sources.sinks import append_log, overwrite_table
+from tillhouse.sources.sinks import append_log, overwrite_table, read_table
 
 def hash_changes(source: DataFrame, target: DataFrame, id_col: str, hash_col: str = "_row_hash") -> DataFrame:
     """INC1/JOI6: source rows whose (id, hash) the target does not hold.
@@ -19,6 +19,16 @@ def hash_changes(source: DataFrame, target: DataFrame, id_col: str, hash_col: st
     return source.join(target.select(id_col, hash_col), [id_col, hash_col], "left_anti")
 
 
+def source_prints(source: DataFrame, id_col: str, name: str = "_content") -> DataFrame:
+    """INC1: a fingerprint of every distinct row of a source over all its columns.
+
+    The published ``_row_hash`` covers some columns only; capture by it would
+    miss changes of the others.
+    """
+    content = F.to_json(F.struct(*[source[c] for c in source.columns]), {"ignoreNullFields": "false"})
+    return source.select(id_col, F.sha2(content, 256).alias(name)).distinct()
+
+
 def high_water_mark(target: DataFrame | None, ts: str) -> dt.datetime | None:
     """FIL7: the newest load time held, None for an absent or empty target; one aggregated value reaches the driver."""
     return None if target is None else target.agg(F.max(ts).alias("m")).first()["m"]
@@ -67,7 +77,7 @@ def assert_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
 
 def rebuild_on_drift(spark: SparkSession, path: str, model: str, fresh: DataFrame, log_path: str, at: Column, run_id: str) -> bool:
     """DRF1: rebuild the table when its schema differs and log the rebuild."""
-    if not schema_drift(spark.read.parquet(path).schema, fresh.schema):
+    if not schema_drift(read_table(spark, path).schema, fresh.schema):
         return False
     overwrite_table(fresh, path)
     row = spark.range(1).select(

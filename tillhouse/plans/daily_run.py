@@ -20,7 +20,8 @@ from tillhouse.session import materialise
 from tillhouse.sources import sinks
 
 MASTER = ("customers", "products", "stores")
-LINE_KEY = ["transaction_id_clean", "product_id"]
+# A copy of a line has a raw id of its own: loading a line again replaces that line only.
+LINE_KEY = ["transaction_id_clean", "product_id", "transaction_id_raw"]
 
 
 @dataclass
@@ -47,7 +48,7 @@ class Lake:
         return sinks.table_exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return sinks.read_table(self.spark, self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
         sinks.overwrite_table(df, self.path(name))
@@ -76,10 +77,13 @@ def stage(lake: Lake, batch: Batch, ctx: RunContext) -> None:
         "stores": lambda: staging.stage_stores(batch.stores, staging.canonical_names(batch.stores, "store_id", "store_name"), ctx),
     }
     for name, build in builders.items():
-        rows, table = build(), f"stg_{name}"
-        if lake.has(table):
-            rows = incremental.hash_changes(rows, lake.read(table), _ids(name))
-        lake.upsert(table, scd.one_per_id(rows, _ids(name)), [_ids(name)])
+        rows, table, captured, key = build(), f"stg_{name}", f"captured_{name}", _ids(name)
+        prints = incremental.source_prints(getattr(batch, name), key)
+        if lake.has(table) and lake.has(captured):
+            changed = materialise(incremental.hash_changes(prints, lake.read(captured), key, "_content").select(key).distinct(), f"changed-{name}")
+            rows, prints = rows.join(changed, key, "left_semi"), prints.join(changed, key, "left_semi")
+        lake.upsert(table, scd.one_per_id(rows, key), [key])
+        lake.upsert(captured, prints, [key])  # last, so that a run cut short captures the same rows again
 
     lines, table = batch.transactions, "stg_transactions"
     if lake.has(table):
@@ -96,7 +100,7 @@ def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
     lake.replace("intmd_stores", intermediate.refine_stores(lake.read("stg_stores"), ctx))
     table, staged = "intmd_transactions", lake.read("stg_transactions")
     if lake.has(table):
-        # Staging has already replaced older copies, so lines staged since are enough.
+        # The latest copy of a line counts, so lines staged since are enough.
         mark = incremental.high_water_mark(lake.read(table), "staging_processed_at")
         staged = incremental.newer_than(staged, "staging_processed_at", mark, again=True)
     lines = intermediate.refine_transactions(staged, ctx)
@@ -176,6 +180,8 @@ def run(
     verdicts["gold"] = gate.first()["passed"]
     if enforce_gates and not verdicts["gold"]:
         return verdicts
-    sinks.append_log(spark, lake.path("gold_metrics_log"), metrics, "metric_id")
+    log = "gold_metrics_log"
+    if not lake.has(log) or lake.read(log).where(F.col("run_id") == ctx.batch_id).isEmpty():
+        sinks.append_log(spark, lake.path(log), metrics, "metric_id")  # a run repeated is logged once
     publish_marts(lake, ctx)
     return verdicts

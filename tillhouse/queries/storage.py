@@ -93,7 +93,7 @@ def snk2(spark, sf):
     area = _area(spark)
     sinks.overwrite_table(table(spark, sf, "part").where("p_size > 25"), f"{area}/part")
     sinks.overwrite_table(table(spark, sf, "part"), f"{area}/part")
-    return spark.read.parquet(f"{area}/part")
+    return sinks.read_table(spark, f"{area}/part")
 
 
 @query("snk4_write_if_absent")
@@ -109,9 +109,9 @@ def snk6(spark, sf):
     area = _area(spark)
     names = ("customer", "part", "supplier")
     record = sinks.publish_snapshot(spark, {n: table(spark, sf, n) for n in names}, f"{area}/bi", CTX.now)
-    rows = spark.read.parquet(f"{area}/bi/{names[0]}").select(F.lit(names[0]).alias("name"))
+    rows = sinks.read_table(spark, f"{area}/bi/{names[0]}").select(F.lit(names[0]).alias("name"))
     for n in names[1:]:
-        rows = rows.unionByName(spark.read.parquet(f"{area}/bi/{n}").select(F.lit(n).alias("name")))
+        rows = rows.unionByName(sinks.read_table(spark, f"{area}/bi/{n}").select(F.lit(n).alias("name")))
     return rows.groupBy("name").agg(F.count("*").alias("rows")).crossJoin(F.broadcast(record))
 
 
@@ -134,5 +134,5 @@ def drf1(spark, sf):
         incremental.rebuild_on_drift(spark, f"{area}/customer", "stg_customers", fresh, f"{area}/log", CTX.now, CTX.batch_id) for _ in range(2)
     ]
     log = spark.read.parquet(f"{area}/log")
-    counted = spark.read.schema(fresh.schema).parquet(f"{area}/customer").agg(F.count("c_mktsegment").alias("rows"))
+    counted = sinks.read_table(spark, f"{area}/customer").agg(F.count("c_mktsegment").alias("rows"))
     return log.crossJoin(counted).select("*", F.lit(runs[0]).alias("first_run"), F.lit(runs[1]).alias("second_run"))

@@ -68,4 +68,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete what ``materialise`` wrote, once nothing reads it any more."""
+    spark = stored.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(stored.scratch)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,23 +1,24 @@
 """Table writers (SNK1-SNK7).
 
-A table is never overwritten from a plan that reads it: the new content is first
-written whole to the shared folder, then put in place.  A run that dies in
-between can be repeated with the same outcome.
+A rebuilt table is a folder of versions.  A version counts once Spark has put its
+``_SUCCESS`` marker, the last step of a write; readers take the newest such one
+(``read_table``).  So a write that fails midway leaves the table as it was, a plan
+may read the table it rebuilds, and nothing is overwritten in place.  The version
+before stays for readers that are still at it; older ones are deleted.
+
+An upserted table is kept by partition, without versions: touched partitions are
+written whole to the shared folder first, then put in place, and a run that dies in
+between is repeated with the same outcome.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import materialise
-
-# More touched partitions than this and the whole table is rewritten instead.
-MAX_TOUCHED_PARTITIONS = 20_000
-
+from tillhouse.session import discard, materialise
 
 def gathered(df: DataFrame, partition: str) -> DataFrame:
     """Rows of one partition together, so that it is written as few large files.
@@ -28,13 +29,42 @@ def gathered(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition))
 
 
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions of a table, ascending."""
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory()]
+    found = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+    return sorted(v for v in found if fs.exists(_folder(spark, f"{path}/v{v:06d}/_SUCCESS")[0]))
+
+
+def current_path(spark: SparkSession, path: str) -> str | None:
+    """Where the table's content is now; None only if there is none (other errors are raised)."""
+    versions = _versions(spark, path)
+    if versions:
+        return f"{path}/v{versions[-1]:06d}"
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return None
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+    return path if any(n[:1] not in ("_", ".", "v") for n in names) else None
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet table can be read at ``path``."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    """True when a table has content at ``path``."""
+    return current_path(spark, path) is not None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version of a table, or a table without versions."""
+    return spark.read.parquet(current_path(spark, path) or path)
 
 
 def without_keys(df: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,50 +85,50 @@ def incremental_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: l
     """SNK1: rewrite only the partitions the batch touches.
 
     Touched are the batch's own partitions and those where the target holds one
-    of its keys; finding them reads the key columns only.
+    of its keys; finding them reads the key columns only.  Their names stay in
+    Spark, however many they are.
     """
     batch = materialise(batch, "upsert-batch")
     if not table_exists(spark, path):
         gathered(batch, partition).write.partitionBy(partition).parquet(path)
+        discard(batch)
         return
     target = spark.read.schema(batch.schema).parquet(path)
     hit = target.select(partition, *[k for k in keys if k != partition]).join(
         batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct(),
         [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi",
     ).select(partition)
-    touched = hit.union(batch.select(partition)).distinct().limit(MAX_TOUCHED_PARTITIONS + 1)
-    values = [r[0] for r in touched.collect()]
-    if len(values) > MAX_TOUCHED_PARTITIONS:
-        overwrite_table(upserted(target, batch, keys), path, partition)
-        return
-    known = [v for v in values if v is not None]
-    inside = F.col(partition).isin(known)
-    if len(known) < len(values):
-        inside = inside | F.col(partition).isNull()
-    merged = materialise(upserted(target.where(inside), batch, keys), "upsert-merged")
+    touched = materialise(hit.union(batch.select(partition)).distinct().withColumnRenamed(partition, "_touched"), "upsert-touched")
+    inside = target.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    merged = materialise(upserted(inside, batch, keys), "upsert-merged")
     writer = gathered(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(path)
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    for value in values:
-        if value not in left:
-            _drop_partition(spark, path, partition, value)
+    left = merged.select(F.col(partition).alias("_left")).distinct()
+    for row in touched.join(left, F.col("_touched").eqNullSafe(F.col("_left")), "left_anti").toLocalIterator():
+        _drop_partition(spark, path, partition, row["_touched"])
+    for scratch in (batch, touched, merged):
+        discard(scratch)
 
 
 def _drop_partition(spark: SparkSession, path: str, partition: str, value) -> None:
     """Remove a partition all of whose rows moved elsewhere."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={name}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, fs = _folder(spark, f"{path}/{partition}={name}")
+    fs.delete(folder, True)
 
 
 def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """SNK2: full rebuild, safe even when ``df`` reads the table itself."""
-    staged = materialise(df, "rebuild")
-    if partition:
-        writer = gathered(staged, partition).write.partitionBy(partition)
-    else:
-        writer = staged.write
-    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """SNK2: full rebuild as a new version, safe even when ``df`` reads the table itself."""
+    spark = df.sparkSession
+    before = _versions(spark, path)
+    version = f"v{(before[-1] if before else 0) + 1:06d}"
+    writer = gathered(df, partition).write.partitionBy(partition) if partition else df.write
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{version}")
+    keep = {version, f"v{before[-1]:06d}"} if before else {version}
+    folder, fs = _folder(spark, path)
+    for entry in fs.listStatus(folder):
+        if entry.getPath().getName() not in keep:
+            fs.delete(entry.getPath(), True)
 
 
 def write_if_absent(df: DataFrame, path: str) -> None:
@@ -129,10 +159,10 @@ def promote_stream_file(spark: SparkSession, streamed: str, batch_area: str, as_
 def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], area: str, at: Column) -> DataFrame:
     """SNK6: copy tables to the reporting area and record the sync."""
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{area}/{name}")
+        overwrite_table(df, f"{area}/{name}")
     record = spark.range(1).select(at.alias("last_sync_time"), F.lit("success").alias("status"))
-    record.write.mode("overwrite").parquet(f"{area}/_sync_metadata")
-    return spark.read.parquet(f"{area}/_sync_metadata")
+    overwrite_table(record, f"{area}/_sync_metadata")
+    return read_table(spark, f"{area}/_sync_metadata")
 
 
 def append_log(spark: SparkSession, path: str, rows: DataFrame, id_col: str) -> None:
