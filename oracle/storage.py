@@ -32,6 +32,16 @@ o["str7_closed_windows"] = f"""{ONCE}
 SELECT date_trunc('hour', datetime) AS window_start, store_name, COUNT(*) AS transactions, {mt('SUM(total_amount)')} AS total_sales,
   {mt('AVG(total_amount)')} AS avg_basket, {mt('AVG(items_count)', 1)} AS avg_items FROM once
 WHERE date_trunc('hour', datetime) + INTERVAL 1 HOUR <= (SELECT MAX(datetime) FROM once) - INTERVAL 1 HOUR GROUP BY 1, 2"""
+o["str7_sliding_windows"] = f"""{ONCE}
+SELECT date_trunc('hour', datetime) - to_hours(back) AS window_start, store_name, COUNT(*) AS transactions, {mt('SUM(total_amount)')} AS total_sales,
+  {mt('AVG(total_amount)')} AS avg_basket, {mt('AVG(items_count)', 1)} AS avg_items FROM once, (VALUES (0), (1), (2)) b(back)
+WHERE date_trunc('hour', datetime) - to_hours(back) + INTERVAL 3 HOUR <= (SELECT MAX(datetime) FROM once) - INTERVAL 1 HOUR GROUP BY 1, 2"""
+o["str7_session_windows"] = f"""{ONCE},
+marked AS (SELECT *, CASE WHEN datetime - LAG(datetime) OVER s <= INTERVAL 45 MINUTE THEN 0 ELSE 1 END AS opens FROM once WINDOW s AS (PARTITION BY store_name ORDER BY datetime)),
+numbered AS (SELECT *, SUM(opens) OVER (PARTITION BY store_name ORDER BY datetime, transaction_id ROWS UNBOUNDED PRECEDING) AS session FROM marked)
+SELECT MIN(datetime) AS window_start, store_name, COUNT(*) AS transactions, {mt('SUM(total_amount)')} AS total_sales,
+  {mt('AVG(total_amount)')} AS avg_basket, {mt('AVG(items_count)', 1)} AS avg_items FROM numbered
+GROUP BY store_name, session HAVING MAX(datetime) + INTERVAL 45 MINUTE <= (SELECT MAX(datetime) FROM once) - INTERVAL 1 HOUR"""
 o["snk5_promote_stream_file"] = """
 SELECT COUNT(*) AS lines, MAX(date) AS newest, FALSE AS promoted_next_day, TRUE AS promoted_same_day FROM live_lines WHERE date = (SELECT MAX(date) FROM live_lines)"""
 

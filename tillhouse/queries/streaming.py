@@ -120,6 +120,24 @@ def str7(spark, sf):
     return live.with_averages(spark.read.parquet(f"{area}/windows")).withColumn("window_start", utc_clock(c("window_start")))
 
 
+def _closed(spark, sf, figures_of):
+    """Figures of windows the watermark has passed."""
+    area = _area(spark)
+    figures = figures_of(live.live_transactions(_messages(spark, sf, area), standin.live_stores(spark, sf)))
+    live.write_closed_windows(figures, f"{area}/windows", f"{area}/checkpoint", available_now=True).awaitTermination()
+    return live.with_averages(spark.read.parquet(f"{area}/windows")).withColumn("window_start", utc_clock(c("window_start")))
+
+
+@query("str7_sliding_windows")
+def str7_sliding(spark, sf):
+    return _closed(spark, sf, lambda t: live.store_figures(t, "3 hours", "1 hour"))
+
+
+@query("str7_session_windows")
+def str7_sessions(spark, sf):
+    return _closed(spark, sf, lambda t: live.session_figures(t, "45 minutes"))
+
+
 @query("snk5_promote_stream_file")
 def snk5(spark, sf):
     area = _area(spark)

@@ -7,7 +7,7 @@ number of rows shown before is a display limit, not a bound on time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,9 +71,18 @@ def distinct_transactions(lines: DataFrame, lateness: str = LATENESS) -> DataFra
     return known.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def store_figures(transactions: DataFrame, width: str) -> DataFrame:
-    """STR5/STR7: figures per store and event-time window, as sums that merge."""
-    return transactions.groupBy(F.window("event_time", width).alias("w"), "store_name").agg(
+def store_figures(transactions: DataFrame, width: str, slide: str | None = None) -> DataFrame:
+    """STR5/STR7: figures per store and event-time window, as sums that merge; with ``slide``, a window starts that often."""
+    return _figures_by(transactions, F.window("event_time", width, slide))
+
+
+def session_figures(transactions: DataFrame, gap: str) -> DataFrame:
+    """STR7: figures per store and session: transactions that follow one another within ``gap``."""
+    return _figures_by(transactions, F.session_window("event_time", gap))
+
+
+def _figures_by(transactions: DataFrame, window: Column) -> DataFrame:
+    return transactions.groupBy(window.alias("w"), "store_name").agg(
         F.count("*").alias("transactions"), F.sum("total_amount").alias("total_sales"),
         F.count("total_amount").alias("priced"), F.sum("items_count").alias("items"), F.count("items_count").alias("counted"),
     ).select(F.col("w.start").alias("window_start"), "store_name", "transactions", "total_sales", "priced", "items", "counted")
@@ -97,10 +106,14 @@ def window_totals(figures: DataFrame) -> DataFrame:
     )
 
 
+def live_transactions(messages: DataFrame, stores: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """STR1-STR4, STR6: messages to one line per transaction, with its store's name."""
+    return distinct_transactions(enrich_with_stores(typed_lines(messages), stores), lateness)
+
+
 def live_figures(messages: DataFrame, stores: DataFrame, width: str = "1 day", lateness: str = LATENESS) -> DataFrame:
     """STR1-STR6 in one: messages to figures per store and window."""
-    lines = enrich_with_stores(typed_lines(messages), stores)
-    return store_figures(distinct_transactions(lines, lateness), width)
+    return store_figures(live_transactions(messages, stores, lateness), width)
 
 
 def write_daily_files(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
