@@ -45,6 +45,8 @@ TREES, DEPTH, LEAST_PREFIX = 20, 6, 3
 LOOSE, LIKELY = 50, 0.58
 #: Classes on either side of a block.
 BLOCK = 256
+#: Bytes of text shingled at once.
+SHINGLED = 8 << 20
 
 SETS = "doc_id long, n_shingles long, key binary, signature binary"
 _FACTORS = np.random.default_rng(20).integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,7 +102,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SHINGLED):
                 sets = shingle_sets(whole(part.column("text")))
                 filled = [s for s in sets if len(s)]
                 values = iter(signature(filled).astype(">u4") if filled else [])
@@ -175,7 +177,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a"):
+            for part in slices(batch, "text_a", SHINGLED):
                 percent = [
                     similar(x, y, LOOSE) if digest(x) == k and digest(y) == j else -1  # a doc_id may stand for several texts
                     for x, y, k, j in zip(shingle_sets(whole(part.column("text_a"))), shingle_sets(whole(part.column("text_b"))), part.column("a").to_pylist(), part.column("b").to_pylist())
@@ -197,7 +199,7 @@ def region_links(docs: DataFrame, classes: DataFrame, loose: DataFrame, joined:
         "region", F.col("top.root").alias("top"),
         F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"), F.ceil(F.col("size") / BLOCK).cast("int").alias("right_blocks"),
     )
-    rows = members.join(open_regions, "region")
+    rows = members.join(materialise(open_regions, "region-open"), "region")  # of known size, so members move only if it is large
     spot = F.xxhash64("key")
     left = rows.where("root <> top").select("region", "key", "root", F.pmod(spot, F.col("left_blocks")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("right_blocks") - 1)).alias("j"), F.lit(True).alias("left"))
     right = rows.select("region", "key", "root", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("i"), F.pmod(spot, F.col("right_blocks")).alias("j"), F.lit(False).alias("left"))
@@ -208,7 +210,7 @@ def region_links(docs: DataFrame, classes: DataFrame, loose: DataFrame, joined:
     def compare(group, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = {}, {}
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SHINGLED):
                 sets = shingle_sets(whole(part.column("text")))
                 for key, root, side, s in zip(part.column("key").to_pylist(), part.column("root").to_pylist(), part.column("left").to_pylist(), sets):
                     if digest(s) == key:

@@ -20,12 +20,12 @@ def whole(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column, "")
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows with at most ``SLICE_BYTES`` of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows with at most ``limit`` bytes of text, or one row."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64()))
     start = total = 0
     for i, size in enumerate(sizes):
-        if i > start and total + size > SLICE_BYTES:
+        if i > start and total + size > limit:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += int(size)
