@@ -31,6 +31,8 @@ HASH_BITS = 18
 SAMPLE_ROWS = 20_000
 GRADES = 3
 ROUNDS, RATE, PENALTY = 120, 0.5, 2e-4
+#: Features summed up at once while fitting.
+RUN = 1 << 20
 TAIL = ".,;:!?*#$%&|"
 
 
@@ -94,12 +96,20 @@ def fit(ends: np.ndarray, places: np.ndarray, grades: np.ndarray, rounds: int =
     size = 1 << HASH_BITS
     seen = np.bincount(places, minlength=size)
     used = np.flatnonzero(seen >= 2)  # a feature of one rated document says nothing of others
-    column = np.full(size, -1, np.int64)
+    column = np.full(size, -1, np.int32)
     column[used] = np.arange(len(used))
-    rows = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    rows = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
     col = column[places]
     rows, col = rows[col >= 0], col[col >= 0]
     n = len(grades)
+
+    def summed(at: np.ndarray, values: np.ndarray, of: np.ndarray, length: int) -> np.ndarray:
+        """Sum ``values[of]`` by ``at``, a run at a time, so that the driver holds no copy of all features."""
+        total = np.zeros(length)
+        for k in range(0, len(at), RUN):
+            total += np.bincount(at[k:k + RUN], weights=values[of[k:k + RUN]], minlength=length)
+        return total
+
     share = np.cumsum(np.bincount(grades, minlength=GRADES) + 1.0)[:-1] / (n + GRADES)
     theta = np.log(share / (1 - share))
     low, gap = theta[0], np.log(np.maximum(np.diff(theta), 1e-3))
@@ -107,12 +117,12 @@ def fit(ends: np.ndarray, places: np.ndarray, grades: np.ndarray, rounds: int =
     gt = np.full(GRADES - 1, 1e-8)
     for _ in range(rounds):
         theta = low + np.concatenate([[0], np.cumsum(np.exp(gap))])
-        s = np.bincount(rows, weights=w[col], minlength=n)
+        s = summed(rows, w, col, n)
         edges = np.concatenate([[-np.inf], theta, [np.inf]])
         with np.errstate(over="ignore", invalid="ignore"):
             a, b = sigmoid(edges[grades + 1] - s), sigmoid(edges[grades] - s)
         p = np.maximum(a - b, 1e-12)
-        g = np.bincount(col, weights=((1 - a - b) / n)[rows], minlength=len(used))
+        g = summed(col, (1 - a - b) / n, rows, len(used))
         up, down = -a * (1 - a) / p / n, b * (1 - b) / p / n
         dt = np.array([up[grades == k].sum() + down[grades == k + 1].sum() for k in range(GRADES - 1)])
         dlow, dgap = dt.sum(), np.cumsum(dt[::-1])[::-1][1:] * np.exp(gap)
@@ -153,8 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     rows = sorted((r["doc_id"], r["grade"], bytes(r["places"])) for r in rated.collect())
     if not rows:
         return OrdinalModel(np.zeros(1 << HASH_BITS), [-np.inf] * (GRADES - 1))
-    places = np.frombuffer(b"".join(r[2] for r in rows), "<u4").astype(np.int64)
-    return fit(np.cumsum([len(r[2]) // 4 for r in rows]), places, np.array([r[1] for r in rows]))
+    ends, grades = np.cumsum([len(r[2]) // 4 for r in rows]), np.array([r[1] for r in rows])
+    places = np.frombuffer(b"".join(r[2] for r in rows), "<u4")
+    del rows
+    return fit(ends, places, grades)
 
 
 def score_udf(docs: DataFrame, model: OrdinalModel):
