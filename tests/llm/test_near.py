@@ -159,6 +159,12 @@ def test_chains():
     assert got == sorted(hashlib.md5(c.encode()).hexdigest()[:8] for c in want)
 
 
+def test_long_runs_of_common_words(spark):
+    text = "start " + "Und " * 200_000 + "middle " + "word " * 100_000 + "!" * 100_000 + " end"
+    got = spark.createDataFrame([(text,), ("the " * 300_000,)], "text string").select(F.size(spotsigs.signatures(F.col("text"))).alias("n")).collect()
+    assert [r["n"] for r in got] == [2, 1]
+
+
 def test_near_pairs_match_brute_force(spark):
     rows = varied(6, 15, 5, 40, 6)
     sets = spark.createDataFrame(rows, "name long, text string").select("name", spotsigs.signatures(F.regexp_replace("text", r"(\S+ \S+)", "$1 the")).alias("own"))

@@ -47,7 +47,8 @@ def common_pattern() -> str:
 def signatures(text: Column) -> Column:
     """The sorted distinct signatures of a text without nulls."""
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    anchored = F.concat(F.lit("#"), F.regexp_replace(plain, f"(?: (?:{common_pattern()})(?= ))+", " #"))
+    # Possessive: matched in a loop.  A greedy repetition recurses for every word and overflows the stack on long runs.
+    anchored = F.concat(F.lit("#"), F.regexp_replace(plain, f"(?: (?:{common_pattern()})(?= ))++", " #"))
     short = lambda x: F.substring(F.md5(x.cast("binary")), 1, 8)
     chains = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(anchored, F.lit(CHAIN), F.lit(1)), short)))
     alone = F.when(text == "", F.array().cast("array<string>")).otherwise(F.array(short(text)))
