@@ -142,6 +142,39 @@ def test_leaks_match_brute_force(spark):
     assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def test_edited_leaks_match_brute_force_at_the_threshold(spark):
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(120)}" for _ in range(rng.randrange(15, 40)))) for i in range(24)]
+    docs = []
+    for i, text in items:  # no item stands anywhere as it is: every k-th word is another, one too many, or missing
+        k = 3 + i % 4
+        edits = [lambda w: ["new"], lambda w: [w, "new"], lambda w: []][i % 3]
+        words = [x for j, w in enumerate(text.split()) for x in (edits(w) if j % k == k - 1 else [w])]
+        body = [f"w{rng.randrange(120)}" if rng.random() < 0.5 else "other" for _ in range(60)]
+        docs.append((i, " ".join(body[:30] + words + body[30:])))
+    spread = items[1][1].split()
+    docs.append((100, " ".join(x for w in spread for x in (w, "new"))))  # no two words of the item together, score 0.5
+    want = leaks_by_force(docs, items, 0.5)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    copies = [(1000 * c + 1, docs[1][1]) for c in range(1, 2001)]  # as often as this, no word of the item is rare
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_leaks(frame(spark, docs + copies), bench).collect()}
+    assert {k: v for k, v in got.items() if k[0] < 1000} == pytest.approx(want) and len(want) >= 24 and (100, 1) in want
+    assert all((d, 1) in got for d, _ in copies)
+    assert decontaminate.without_leaks(frame(spark, docs + copies), bench).count() == len(docs) - len({d for d, _ in want})
+
+
+def test_passages_across_cuts_are_found(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    items = decontaminate.Items.of([(i, " ".join(f"w{rng.randrange(40)}" for _ in range(12))) for i in range(6)])
+    texts = pa.array([" ".join(f"w{rng.randrange(40)}" for _ in range(50)) + " " + " ".join(np.array(items.vocabulary)[items.words[i % 6]]) for i in range(30)])
+    seeds = items.seeds(np.ones(len(items.vocabulary), np.int64), 0.4)
+    whole = items.hits(texts, seeds, 0.4)
+    monkeypatch.setattr(decontaminate, "PAIRS", 7)
+    assert items.hits(texts, seeds, 0.4) == whole and len(whole) >= 30
+
+
 def test_no_leak_of_the_given_tables_is_lost(spark):
     docs, bench = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_leaks(docs, bench).collect()}

@@ -1,16 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds lead to passages, which are aligned with the test items.
+"""Benchmark decontamination: items are sought by their rarer words, and the passages found are aligned with them.
 
 Texts and items become sequences of words: pieces between white space, lower-cased, letters and digits only.
-For every n-gram of an item the number of documents that hold it is counted over all documents.  The rarer
-half of an item's n-grams (up to their median frequency) are its seeds, so that every item keeps seeds however
-often it has leaked.  Around the seeds found in a document, the words are aligned with the item by Smith and
-Waterman's local alignment (match 2, mismatch -1, gap -1); the score over that of a perfect copy is the result.
+A passage's score is that of Smith and Waterman's local alignment (match 2, mismatch -1, gap -1) with the item,
+over that of a perfect copy.
+
+An alignment that reaches the threshold leaves few words of its item unmatched (a third at 0.5: each costs 3 of
+2 a word) and spans a bounded number of words (twice the item's at 0.5).  So of any set of the item's words,
+all but those few stand inside such a span.  That is asked of the item's rarest words (as many as may stay
+unmatched and a third of those that have to match), then of all its words; passages that fulfil both are aligned.  Both are necessary conditions: every
+alignment that reaches the threshold is found, however its words are edited and however often it has leaked.
+How often each word occurs, counted over all documents, only decides how many passages are looked at.
 
 The test items are a stated query set.  They are sent to the tasks in blocks of at most ``BLOCK_WORDS`` words,
 one block after another if there are more.  Documents are neither shuffled nor grouped.
 
-An item of fewer than ``N`` words, or null, matches nothing; items that repeat match each by itself.  A null
-text is empty.  Every row of a repeated document is judged.  Without items, nothing is found.
+An item of fewer than ``N`` words, or null, matches nothing, and neither does a document of fewer than ``N``
+words; items that repeat match each by itself.  A null text is empty.  Every row of a repeated document is judged.
+Without items, nothing is found.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ from tillhouse.llm.texts import pieces, row_sums, slices, strings, whole
 N = 3
 THRESHOLD = 0.5
 BLOCK_WORDS = 1_000_000
+#: Word and item pairs looked at together in a task.
+PAIRS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 HITS = "doc_id long, item_id long, score double, first_word long, n_words long"
@@ -50,28 +58,24 @@ def word_ids(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndar
     return row_sums(counts, word.astype(np.int64)), laid[word]
 
 
-def ngram_keys(ids: np.ndarray, size: int) -> np.ndarray:
-    """A number per run of N known words, -1 where one is unknown."""
-    if len(ids) < N:
-        return np.zeros(0, np.int64)
-    key = np.zeros(len(ids) - N + 1, np.int64)
-    known = np.ones(len(key), bool)
-    for k in range(N):
-        part = ids[k:len(ids) - N + 1 + k]
-        known &= part >= 0
-        key = key * size + part
-    return np.where(known, key, -1)
+@dataclass
+class Seeds:
+    """What to look for: of each word of a vocabulary, the items that seek it; of each item, how many within how many words."""
+
+    first: np.ndarray  # of each word, where its items begin in ``items``; one more at the end
+    items: np.ndarray
+    enough: np.ndarray  # occurrences of sought words
+    matched: np.ndarray  # words of the item
+    span: np.ndarray
 
 
 @dataclass
 class Items:
-    """A block of test items: words by their place in ``vocabulary``, and for each n-gram where it stands."""
+    """A block of test items: words by their place in ``vocabulary``."""
 
     item_ids: list[int]
     words: list[np.ndarray]
     vocabulary: pa.Array
-    grams: np.ndarray  # distinct n-grams, sorted
-    places: list[list[tuple[int, int]]]  # of each n-gram: (item, offset)
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Items:
@@ -80,70 +84,102 @@ class Items:
         vocabulary = pc.unique(plain.filter(pc.not_equal(plain, "")))
         counts, ids = word_ids(texts, vocabulary)
         words = np.split(ids, np.cumsum(counts)[:-1]) if rows else []
-        at: dict[int, list[tuple[int, int]]] = {}
-        for item, w in enumerate(words):
-            for offset, key in enumerate(ngram_keys(w, len(vocabulary)).tolist()):
-                at.setdefault(key, []).append((item, offset))
-        grams = np.array(sorted(at), np.int64)
-        return cls([i for i, _ in rows], words, vocabulary, grams, [at[g] for g in grams.tolist()])
-
-    def seeds(self, frequency: np.ndarray) -> Items:
-        """Only the rarer half of each item's n-grams."""
-        of_item: dict[int, list[int]] = {}
-        for g, places in enumerate(self.places):
-            for item, _ in places:
-                of_item.setdefault(item, []).append(g)
-        limit = {item: np.median(frequency[g]) for item, g in of_item.items()}
-        kept = [[(i, o) for i, o in places if frequency[g] <= limit[i]] for g, places in enumerate(self.places)]
-        some = [g for g, places in enumerate(kept) if places]
-        return Items(self.item_ids, self.words, self.vocabulary, self.grams[some], [kept[g] for g in some])
-
-    def find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words per row, all words, and position and number of each n-gram of the block in them."""
-        counts, ids = word_ids(texts, self.vocabulary)
-        keys = ngram_keys(ids, len(self.vocabulary))
-        at = np.flatnonzero(keys >= 0)
-        if not len(at) or not len(self.grams):
-            return counts, ids, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        g = np.minimum(np.searchsorted(self.grams, keys[at]), len(self.grams) - 1)
-        there = self.grams[g] == keys[at]
-        at, g = at[there], g[there]
+        return cls([i for i, _ in rows], words, vocabulary)
+
+    def seeds(self, frequency: np.ndarray, threshold: float) -> Seeds:
+        """The rarest words of each item: as many as may stay unmatched and a third of those that have to match."""
+        enough, matched, span = (np.zeros(len(self.words), np.int64) for _ in range(3))
+        sought, by = [], []
+        for item, words in enumerate(self.words):
+            m = len(words)
+            if m < N:
+                continue
+            least = least_score(m, threshold)
+            spare = (MATCH * m - least) // (MATCH - MISMATCH)
+            matched[item], span[item] = m - spare, (MATCH + 1) * m - least
+            enough[item] = max(1, (m - spare) // 3)
+            rarest = words[np.argsort(frequency[words], kind="stable")[:spare + enough[item]]]
+            sought.append(np.unique(rarest))
+            by.append(np.full(len(sought[-1]), item))
+        word, item = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (sought, by))
+        order = np.argsort(word, kind="stable")
+        return Seeds(np.searchsorted(word[order], np.arange(len(self.vocabulary) + 1)), item[order], enough, matched, span)
+
+    def passages(self, counts: np.ndarray, ids: np.ndarray, seeds: Seeds) -> dict[tuple[int, int], list[list[int]]]:
+        """By row and item, the stretches of ``ids`` that can hold an alignment; none overlap or touch."""
         row_end = np.cumsum(counts)
-        inside = at + N <= row_end[np.searchsorted(row_end, at, side="right")]  # not from one document into the next
-        return counts, ids, at[inside], g[inside]
-
-    def hits(self, texts: pa.Array, threshold: float) -> list[tuple[int, int, float, int, int]]:
+        n_items = np.where(ids >= 0, np.diff(seeds.first)[ids] if len(seeds.first) > 1 else 0, 0)
+        at = np.flatnonzero(n_items)
+        if not len(at):
+            return {}
+        pairs_before = np.cumsum(n_items[at]) - n_items[at]
+        reach = int(seeds.span.max())
+        found: dict[tuple[int, int], list[list[int]]] = {}
+        cuts = np.searchsorted(pairs_before, np.arange(0, pairs_before[-1] + 1, PAIRS))
+        for lo, hi in zip(cuts, [*cuts[1:], len(at)]):
+            if lo == hi:
+                continue
+            near = at[lo:np.searchsorted(at, at[hi - 1] + reach)]  # spans that begin before the cut end behind it
+            n = n_items[near]
+            p = np.repeat(near, n)
+            item = seeds.items[np.repeat(seeds.first[ids[near]] - np.cumsum(n) + n, n) + np.arange(len(p))]
+            order = np.argsort(item, kind="stable")
+            p, item = p[order], item[order]
+            last = np.arange(len(p)) + seeds.enough[item] - 1
+            inside = last < len(p)
+            last = np.minimum(last, len(p) - 1)
+            inside &= (item[last] == item) & (p[last] - p < seeds.span[item])
+            begin, end, item = p[inside], p[last[inside]], item[inside]
+            row = np.searchsorted(row_end, begin, side="right")
+            same = (end < row_end[row]) & (counts[row] >= N)
+            for r, i, b, e in zip(row[same].tolist(), item[same].tolist(), (end - seeds.span[item] + 1)[same].tolist(), (begin + seeds.span[item])[same].tolist()):
+                there = found.setdefault((r, i), [])
+                if there and b <= there[-1][1]:
+                    there[-1][1] = max(e, there[-1][1])
+                else:
+                    there.append([b, e])
+        return found
+
+    def hits(self, texts: pa.Array, seeds: Seeds, threshold: float) -> list[tuple[int, int, float, int, int]]:
         """``row, item, score, first word, words`` of the best alignment of each item that reaches ``threshold``."""
-        counts, ids, at, grams = self.find(texts)
+        counts, ids = word_ids(texts, self.vocabulary)
         row_end = np.cumsum(counts)
-        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for p, g, row in zip(at.tolist(), grams.tolist(), np.searchsorted(row_end, at, side="right").tolist()):
-            for item, offset in self.places[g]:
-                found.setdefault((row, item), []).append((p, offset))
+        own = np.zeros(len(self.vocabulary) + 1, bool)  # the last stands for unknown words
         out = []
-        for (row, item), where in found.items():
-            stop, start = int(row_end[row]), int(row_end[row] - counts[row])
-            best = max(self._windows(ids, where, self.words[item], start, stop))
+        for (row, item), stretches in sorted(self.passages(counts, ids, seeds).items()):
+            stop, start, words = int(row_end[row]), int(row_end[row] - counts[row]), self.words[item]
+            own[words] = True
+            best = (0.0, 0, 0)
+            for lo, hi in stretches:
+                lo, hi = max(lo, start), min(hi, stop)
+                text = ids[lo:hi]
+                held = np.concatenate([[0], np.cumsum(own[text])])
+                width = min(int(seeds.span[item]), len(text))
+                if (held[width:] - held[:len(held) - width]).max() >= seeds.matched[item]:
+                    best = max(best, copy_or_alignment(text, words, lo, max(threshold, best[0])), key=lambda x: x[0])
+            own[words] = False
             if best[0] >= threshold:
                 out.append((row, item, best[0], best[1] - start, best[2]))
         return out
 
-    @staticmethod
-    def _windows(ids: np.ndarray, where: list[tuple[int, int]], item: np.ndarray, start: int, stop: int) -> Iterator[tuple[float, int, int]]:
-        """Score, first position and length of the best alignment in each run of seeds that one alignment can span."""
-        m = len(item)
-        for p, offset in where:  # a whole copy needs no alignment
-            if p - offset >= start and p - offset + m <= stop and np.array_equal(ids[p - offset:p - offset + m], item):
-                yield 1.0, p - offset, m
-                return
-        reach = 2 * m + 1  # an alignment with a positive score is no longer
-        lo, hi = where[0][0] - reach, where[0][0] + reach
-        for p, _ in where[1:]:
-            if p - reach > hi:
-                yield align(ids[max(lo, start):min(hi, stop)], item, max(lo, start))
-                lo = p - reach
-            hi = p + reach
-        yield align(ids[max(lo, start):min(hi, stop)], item, max(lo, start))
+
+def least_score(m: int, threshold: float) -> int:
+    """The lowest alignment score that reaches ``threshold`` with an item of ``m`` words; 1 at least."""
+    least = max(1, int(np.floor(MATCH * m * threshold)) - 1)
+    while least / (MATCH * m) < threshold:
+        least += 1
+    return least
+
+
+def copy_or_alignment(text: np.ndarray, item: np.ndarray, base: int, threshold: float) -> tuple[float, int, int]:
+    """As ``align`` if that reaches the threshold, or zeros; a whole copy needs no alignment."""
+    m = len(item)
+    if len(text) >= m:
+        for p in np.flatnonzero((text[:len(text) - m + 1] == item[0]) & (text[m - 1:] == item[-1])).tolist():
+            if np.array_equal(text[p:p + m], item):
+                return 1.0, base + p, m
+    best, _ = best_end(text, item)
+    return align(text, item, base) if best / (MATCH * m) >= threshold else (0.0, 0, 0)
 
 
 def best_end(text: np.ndarray, item: np.ndarray) -> tuple[int, int]:
@@ -186,27 +222,25 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
 
-def seeded(docs: DataFrame, items: Items) -> Items:
-    """The block with its seeds, by document frequencies over all of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def seeded(docs: DataFrame, items: Items, threshold: float) -> Seeds:
+    """What to look for, by how often the words of the block occur in all of ``docs``."""
+    sent = docs.sparkSession.sparkContext.broadcast(items.vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = sent.value
-        total = np.zeros(len(block.grams), np.int64)
+        vocabulary = sent.value
+        total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for part in slices(batch):
-                counts, _, at, grams = block.find(whole(part.column("text")))
-                rows = np.searchsorted(np.cumsum(counts), at, side="right")
-                pairs = np.unique(rows * max(len(total), 1) + grams)
-                total += np.bincount(pairs % max(len(total), 1), minlength=len(total))
+                _, ids = word_ids(whole(part.column("text")), vocabulary)
+                total += np.bincount(ids[ids >= 0], minlength=len(total))
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["word", "n"])
 
-    rows = texts_of(docs).select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    frequency = np.zeros(len(items.grams), np.int64)
+    rows = texts_of(docs).select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    frequency = np.zeros(len(items.vocabulary), np.int64)
     for r in rows:
-        frequency[r["gram"]] = r["n"]
-    return items.seeds(frequency)
+        frequency[r["word"]] = r["n"]
+    return items.seeds(frequency, threshold)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -214,13 +248,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     spark = docs.sparkSession
 
     def found(items: Items) -> DataFrame:
-        sent = spark.sparkContext.broadcast(seeded(docs, items))
+        sent = spark.sparkContext.broadcast((items, seeded(docs, items, threshold)))
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block = sent.value
+            block, seeds = sent.value
             for batch in batches:
                 for part in slices(batch):
-                    hits = block.hits(whole(part.column("text")), threshold)
+                    hits = block.hits(whole(part.column("text")), seeds, threshold)
                     ids = part.column("doc_id").to_pylist()
                     yield pa.RecordBatch.from_arrays([
                         pa.array([ids[h[0]] for h in hits], pa.int64()), pa.array([block.item_ids[h[1]] for h in hits], pa.int64()),
@@ -233,16 +267,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     return reduce(DataFrame.unionAll, blocks) if blocks else spark.createDataFrame([], HITS)
 
 
-def leak_udf(items: Items, spark, threshold: float):
+def leak_udf(items: Items, seeds: Seeds, spark, threshold: float):
     """A column function from texts to whether any item of the block is found."""
-    sent = spark.sparkContext.broadcast(items)
+    sent = spark.sparkContext.broadcast((items, seeds))
 
     @F.arrow_udf("boolean")
     def leaks(texts: pa.Array) -> pa.Array:
+        block, seeds = sent.value
         out = [np.zeros(0, bool)]
         for part in slices(pa.RecordBatch.from_arrays([texts], ["text"])):
             leaked = np.zeros(part.num_rows, bool)
-            leaked[[h[0] for h in sent.value.hits(whole(part.column("text")), threshold)]] = True
+            leaked[[h[0] for h in block.hits(whole(part.column("text")), seeds, threshold)]] = True
             out.append(leaked)
         return pa.array(np.concatenate(out))
 
@@ -253,6 +288,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
     """The rows of ``docs`` in which no item is found, as they are."""
     clean = docs
     for items in item_blocks(benchmark):
-        leaks = leak_udf(seeded(docs, items), docs.sparkSession, threshold)
+        leaks = leak_udf(items, seeded(docs, items, threshold), docs.sparkSession, threshold)
         clean = clean.where(~leaks(clean["text"].cast("string")))
     return clean
