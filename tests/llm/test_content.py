@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from fractions import Fraction
 
 import brute
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from conftest import frame
 
 from tillhouse.llm import decontaminate, licences, ordinal, pfair, url_filter
+from tillhouse.llm.queries import TARGETS
 
 SF = "/root/testdata/sf0.01"
 
@@ -227,3 +229,36 @@ def test_mixture_matches_its_definition(spark, awkward, nothing):
     assert out.columns == awkward.columns and Counter(map(tuple, out.collect())) == Counter(map(tuple, awkward.collect()))
     assert pfair.mixed(awkward, {}, 2).count() == awkward.count() and pfair.mixed(nothing, {"a": 1}).collect() == []
     assert pfair.whole_weights({"a": 0.5, "b": 0.25, "c": 0.25}) == {"a": 2, "b": 1, "c": 1}
+
+
+@pytest.mark.parametrize("weights", [TARGETS, {"a": 0.3, "b": 0.0007, "c": 0.6993}, {"a": 1.0, "b": 1 / 3, "c": 0.00001}, {"a": 1, "b": 10**17 + 1, "c": 10**17}])
+def test_slots_follow_the_weights_as_given(weights):
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    total = sum(exact.values())
+    sizes = {s: max(1, int(12_000 * w / total)) for s, w in exact.items()}
+    plan, after = pfair.phases(pfair.whole_weights(weights), sizes)
+    assert after == sum(sizes.values())
+    first, placed = plan[0], {s: 0 for s in weights}
+    length = plan[1].start if len(plan) > 1 else after
+    slot_of = {}
+    for s, (lo, hi, w, at, released, due) in first.members.items():
+        for k in range(lo, hi):
+            t = first.start + k // w * first.period + at[k % w]
+            assert slot_of.setdefault(t, s) == s
+            assert first.start + k // w * first.period + released[k % w] == k * total // exact[s] <= t
+            assert first.start + k // w * first.period + due[k % w] == -(-(k + 1) * total // exact[s]) > t
+    assert sorted(slot_of) == list(range(length))
+    for t in range(length):
+        placed[slot_of[t]] += 1
+        assert all(abs(placed[s] - (t + 1) * exact[s] / total) < 1 for s in weights)
+
+
+def test_rounding_of_weights_is_bounded(monkeypatch):
+    weights = {"a": 10**9 + 7, "b": 1, "c": 3 * 10**8, "d": 2}
+    parts = pfair.rounded(weights, 1000)
+    assert sum(parts.values()) == 1000 and min(parts.values()) == 1
+    assert all(abs(p - 1000 * weights[s] / sum(weights.values())) < len(weights) for s, p in parts.items())
+    monkeypatch.setattr(pfair, "SLOTS", 1000)
+    plan, after = pfair.phases(weights, {"a": 9000, "b": 2, "c": 4000, "d": 5})
+    assert after == 13007 and all(p.period <= 1000 for p in plan)
+    assert sum(hi - lo for p in plan for lo, hi, *_ in p.members.values()) == after
