@@ -115,3 +115,17 @@ def test_two_clean_spellings_multiply_master_rows_only(spark):
     assert sorted(r["clean_name"] for r in raw.join(names, "product_id").collect()) == ["Nut", "Nut", "Nuts", "Nuts"]
     lines = raw.toDF("store_id", "store_name")
     assert [tuple(r) for r in staging.store_name_of_lines(lines).collect()] == [("P1", "Nut")]
+
+
+def test_days_outside_the_stated_range_are_kept(spark, tmp_path):
+    from tillhouse.queries import load_all
+
+    days = [dt.datetime(1994, 12, 30), dt.datetime(1994, 12, 30), dt.datetime(2003, 5, 6), None]
+    rows = [(i, d, "1-URGENT") for i, d in enumerate(days)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    orders = {r["expected_date"]: r["orders"] for r in load_all()["gen2_date_series"](spark, str(tmp_path)).collect()}
+    assert {d: n for d, n in orders.items() if n} == {dt.date(1994, 12, 30): 2, dt.date(2003, 5, 6): 1}
+    span = {dt.date(1994, 12, 30) + dt.timedelta(n) for n in range((dt.date(2003, 5, 6) - dt.date(1994, 12, 30)).days + 1)}
+    assert set(orders) == span
+    gaps = {r["expected_date"] for r in load_all()["dq16_calendar_gaps"](spark, str(tmp_path)).collect()}
+    assert gaps == span - {dt.date(1994, 12, 30), dt.date(2003, 5, 6)}

@@ -65,6 +65,16 @@ def date_series(spark: SparkSession, start: dt.date, days: int) -> DataFrame:
     return spark.range(days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("expected_date"))
 
 
+def widened(start: dt.date, days: int, held: DataFrame) -> tuple[dt.date, int]:
+    """``start`` and ``days`` of a series, widened to the days of the one column of ``held``."""
+    day = F.col(held.columns[0])
+    first, last = held.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return start, days
+    begin, end = min(start, first), max(start + dt.timedelta(days - 1), last)
+    return begin, (end - begin).days + 1
+
+
 def dim_date(days: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
     """DIM1: calendar attributes; the relative flags hold for ``ctx.as_of``."""
     d, today = F.col("date_day"), ctx.today

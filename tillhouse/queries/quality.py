@@ -116,9 +116,9 @@ def dq15(spark, sf):
 
 @query("dq16_calendar_gaps")
 def dq16(spark, sf):
-    """Days of 1995-2001 without an order, against the calendar built from the orders."""
+    """Days without an order, from 1995-01-01 to 2001-07-31 and as far before or after as the orders reach, against the calendar built from them."""
     days = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(c("o_orderdate").cast("date").alias("date_day")).distinct()
-    return rules.calendar_gaps(marts.dim_date(days).select("date_actual"), dt.date(1995, 1, 1), 2404)
+    return rules.calendar_gaps(marts.dim_date(days).select("date_actual"), *marts.widened(dt.date(1995, 1, 1), 2404, days))
 
 
 @query("dq17_duplicate_lines")

@@ -442,8 +442,10 @@ def gen1(spark, sf):
 
 @query("gen2_date_series")
 def gen2(spark, sf):
-    days = marts.date_series(spark, dt.date(1995, 1, 1), 2500)
-    daily = table(spark, sf, "orders").groupBy(c("o_orderdate").cast("date").alias("expected_date")).agg(F.count("*").alias("orders"))
+    """Orders of each day: 2,500 days from 1995 on, and all days before or after that the orders reach."""
+    ordered = table(spark, sf, "orders").select(c("o_orderdate").cast("date").alias("expected_date"))
+    days = marts.date_series(spark, *marts.widened(dt.date(1995, 1, 1), 2500, ordered))
+    daily = ordered.groupBy("expected_date").agg(F.count("*").alias("orders"))
     return days.join(daily, "expected_date", "left").select("expected_date", F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
