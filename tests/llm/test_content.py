@@ -7,7 +7,7 @@ from fractions import Fraction
 import brute
 import numpy as np
 import pytest
-from conftest import frame
+from odd_rows import frame
 
 from tillhouse.llm import decontaminate, licences, ordinal, pfair, url_filter
 from tillhouse.llm.queries import TARGETS

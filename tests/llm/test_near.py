@@ -6,7 +6,7 @@ from collections import Counter
 
 import brute
 import pytest
-from conftest import frame
+from odd_rows import frame
 from pyspark.sql import functions as F
 
 from tillhouse.llm import near_dedup, spotsigs

@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pyarrow as pa
-from conftest import frame
+from odd_rows import frame
 
 import corpus_pipeline
 from tillhouse.llm import decontaminate, ordinal
