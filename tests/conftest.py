@@ -8,8 +8,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,5 +21,6 @@ def spark():
 @pytest.fixture(scope="session")
 def duck():
     from compare import connection
+    from tables import SF_DIR
 
     return connection(SF_DIR)

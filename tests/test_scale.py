@@ -3,8 +3,8 @@
 import random
 
 import pytest
-from conftest import SF_DIR
 from pyspark.sql import functions as F
+from tables import SF_DIR
 
 from tillhouse.operators import dedup, ranking
 from tillhouse.plans.inputs import Warehouse

@@ -5,8 +5,8 @@ import os
 import tempfile
 
 import pytest
-from conftest import SF_DIR
 from pyspark.sql import functions as F
+from tables import SF_DIR
 
 from tillhouse.context import RunContext
 from tillhouse.operators import incremental, scd
