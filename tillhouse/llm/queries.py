@@ -254,3 +254,80 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillhouse.llm.licences import licence_report
 
     return licence_report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_centroid_clusters")
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.drift_clusters import cluster_report
+
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def cluster_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every round scans all centroids; sums are of whole numbers, divided towards minus infinity."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS MATERIALIZED (
+          SELECT n, arg_min(c, struct_pack(d := d, c := c)) AS c, min(d) AS d
+          FROM (SELECT v.n, z.c, list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - z.x[i]) * (v.x[i] - z.x[i])))::BIGINT AS d FROM v CROSS JOIN z{i} z)
+          GROUP BY n)""")
+        if i < rounds:
+            steps.append(f"""
+        s{i} AS (SELECT c, p, ((sum(x) - ((sum(x) % count(*) + count(*)) % count(*))) // count(*))::BIGINT AS m
+          FROM (SELECT a.c, generate_subscripts(v.x, 1) AS p, unnest(v.x) AS x FROM v JOIN a{i} a USING (n)) GROUP BY c, p),
+        z{i + 1} AS MATERIALIZED (SELECT z.c, coalesce(m.x, z.x) AS x FROM z{i} z LEFT JOIN (SELECT c, list(m ORDER BY p) AS x FROM s{i} GROUP BY c) m USING (c))""")
+    return f"""
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+    ), z0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, x) - 1 AS c, x FROM v QUALIFY c < {k}
+    ), {",".join(steps)},
+    spread AS (SELECT c, sum(d)::BIGINT AS inertia FROM a{rounds} GROUP BY c)
+    SELECT v.vec_id, a.c::INT AS cluster, a.d AS distance, s.inertia AS cluster_inertia, (SELECT sum(d)::BIGINT FROM a{rounds}) AS inertia,
+           sha256(array_to_string(z.x, ',')) AS centroid_sha256
+    FROM v JOIN a{rounds} a USING (n) JOIN spread s ON s.c = a.c JOIN z{rounds} z ON z.c = a.c
+    """
+
+
+ORACLE["op11_centroid_clusters"] = cluster_sql()
+
+
+@query("op12_hard_negatives")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.hard_negatives import hard_negatives
+
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings"), moved, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), scored AS MATERIALIZED (
+  SELECT a.n, a.vec_id AS anchor_id, b.n AS other, b.vec_id, a.label = b.label AS alike,
+         list_sum(list_transform(range(1, 65), lambda i: a.x[i] * b.x[i]))::BIGINT AS score
+  FROM r a JOIN r b ON a.n <> b.n WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT n, anchor_id, vec_id AS positive_id, other AS positive, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.n, p.positive ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.n = p.n AND NOT s.alike AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op13_sharding")
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.sharding import sharded
+
+    return sharded(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
