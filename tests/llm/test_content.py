@@ -1,5 +1,6 @@
 """Licences, url verdicts, classifier, decontamination and mixing."""
 
+import math
 import random
 from collections import Counter
 from fractions import Fraction
@@ -165,6 +166,62 @@ def test_edited_leaks_match_brute_force_at_the_threshold(spark):
     assert decontaminate.without_leaks(frame(spark, docs + copies), bench).count() == len(docs) - len({d for d, _ in want})
 
 
+def test_parts_of_items_are_found(spark):
+    """Heads, tails and middles of the given items, down to the threshold, as the only leak of their item."""
+    import pyarrow as pa
+
+    rows = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    items = decontaminate.Items.of(rows)
+    frequency = np.ones(len(items.vocabulary), np.int64)
+    seeds = items.seeds(frequency, 0.5)
+    names = np.array(items.vocabulary.to_pylist(), object)
+    filler = " ".join(f"filler{i}" for i in range(60))
+    lost = tried = 0
+    for share in (0.5, 0.55, 0.6, 0.65, 0.7):
+        texts, whose = [], []
+        for k, words in enumerate(items.words):
+            n = max(1, math.ceil(share * len(words)))
+            for lo in (0, len(words) - n, (len(words) - n) // 2):
+                texts.append(f"{filler} {' '.join(names[words[lo:lo + n]])} {filler}")
+                whose.append(k)
+        found = {(h[0], h[1]) for h in items.hits(pa.array(texts), seeds, 0.5)}
+        tried += len(texts)
+        lost += sum((i, k) not in found for i, k in enumerate(whose) if len(items.words[k]) >= decontaminate.N)
+    assert lost == 0 and tried >= 3000
+
+
+def test_random_edits_and_cuts_match_brute_force():
+    """2,000 passages with words replaced, put in, left out and cut off at the ends; none that scores 0.5 is lost."""
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(90)}" for _ in range(rng.randrange(4, 26)))) for i in range(20)]
+    items = decontaminate.Items.of(rows)
+    seeds = items.seeds(np.array([rng.randrange(1, 50) for _ in range(len(items.vocabulary))]), 0.5)
+    hits = 0
+    texts, whose = [], []
+    for _ in range(2000):
+        k = rng.randrange(len(rows))
+        words = rows[k][1].split()
+        a = rng.randrange(len(words) // 3 + 1)
+        words = words[a:len(words) - rng.randrange(len(words) // 3 + 1)]
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice([[], ["new"], [words[at], "new"], [words[at], f"w{rng.randrange(90)}"]]) if len(words) > 1 else words[at:at + 1]
+        body = [f"w{rng.randrange(90)}" if rng.random() < 0.2 else "other" for _ in range(12)]
+        texts.append(" ".join(body[:6] + words + body[6:]))
+        whose.append(k)
+    found = {(h[0], h[1]): h[2] for h in items.hits(pa.array(texts), seeds, 0.5)}
+    for i, (text, k) in enumerate(zip(texts, whose)):
+        score = brute.local_score(text.split(), rows[k][1].split())
+        if score >= 0.5:
+            hits += 1
+            assert found.get((i, k)) == pytest.approx(score)
+        else:
+            assert (i, k) not in found
+    assert 800 < hits < 2000
+
+
 def test_passages_across_cuts_are_found(monkeypatch):
     import pyarrow as pa
 

@@ -4,11 +4,13 @@ Texts and items become sequences of words: pieces between white space, lower-cas
 A passage's score is that of Smith and Waterman's local alignment (match 2, mismatch -1, gap -1) with the item,
 over that of a perfect copy.
 
-An alignment that reaches the threshold leaves few words of its item unmatched (a third at 0.5: each costs 3 of
-2 a word) and spans a bounded number of words (twice the item's at 0.5).  So of any set of the item's words,
-all but those few stand inside such a span.  That is asked of the item's rarest words (as many as may stay
-unmatched and a third of those that have to match), then of all its words; passages that fulfil both are aligned.  Both are necessary conditions: every
-alignment that reaches the threshold is found, however its words are edited and however often it has leaked.
+An alignment that reaches the threshold leaves at most so many words of its item unmatched (half at 0.5: a word left
+off at an end costs the 2 it would have given, one replaced inside costs 3) and spans a bounded number of words (twice
+the item's at 0.5).  So of any set of the item's words, all but those stand inside such a span.  That is asked of the
+item's rarest words (as many as may stay unmatched and a third of those that have to match), then of all its words;
+passages that fulfil both are aligned.  Both are necessary conditions: every alignment that reaches the threshold is
+found, however its words are edited or cut off and however often it has leaked.  Seeds are single words and not longer
+n-grams, since a copy with a word put in after each of its own scores 0.5 without two adjacent words of the item.
 How often each word occurs, counted over all documents, only decides how many passages are looked at.
 
 The test items are a stated query set.  They are sent to the tasks in blocks of at most ``BLOCK_WORDS`` words,
@@ -95,7 +97,7 @@ class Items:
             if m < N:
                 continue
             least = least_score(m, threshold)
-            spare = (MATCH * m - least) // (MATCH - MISMATCH)
+            spare = (MATCH * m - least) // MATCH
             matched[item], span[item] = m - spare, (MATCH + 1) * m - least
             enough[item] = max(1, (m - spare) // 3)
             rarest = words[np.argsort(frequency[words], kind="stable")[:spare + enough[item]]]
