@@ -157,14 +157,14 @@ def mix(docs: DataFrame, weights: dict[str, float], block_docs: int = BLOCK_DOCS
     plan, after = phases(whole_weights(targets), blocks) if targets else ([], 0)
     plan += phases({None: 1}, blocks, after)[0]
     spans = [(s, p.start, p.period, *member) for p in plan for s, member in p.members.items()]
-    table = docs.sparkSession.createDataFrame(
+    table = materialise(docs.sparkSession.createDataFrame(  # stored, so that its true size decides how it is joined
         spans, "of string, start long, period long, lo long, hi long, w long, at array<long>, released_at array<long>, due_at array<long>",
-    )
+    ), "mix-phases")
     block = rows.withColumn("block", F.floor(F.col("nth") / block_docs)).withColumn("place", F.col("nth") % block_docs)
     k = F.col("block") - F.col("lo")
     repeats, nth = F.expr("(block - lo) div w") * F.col("period") + F.col("start"), (k % F.col("w") + 1).cast("int")
     same = F.col("stream").eqNullSafe(F.col("of")) & (F.col("block") >= F.col("lo")) & (F.col("block") < F.col("hi"))
-    return block.join(F.broadcast(table), same).select(
+    return block.join(table, same).select(
         "doc", "stream", "block", (repeats + F.element_at("at", nth)).alias("slot"),
         (repeats + F.element_at("released_at", nth)).alias("released"), (repeats + F.element_at("due_at", nth)).alias("due"), "place",
     )
