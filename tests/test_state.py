@@ -10,6 +10,7 @@ from tables import SF_DIR
 
 from tillhouse.context import RunContext
 from tillhouse.operators import incremental, scd
+from tillhouse.session import materialise
 from tillhouse.sources import schemas, sinks
 
 c = F.col
@@ -173,3 +174,94 @@ def test_gate_stops_the_run(spark):
     )
     assert run(spark, root, batch, RunContext(), grain="YEAR") == {"staging": False}
     assert not Lake(spark, root).has("intmd_transactions")
+
+
+DAYS = [dt.date(2024, 1, i) for i in range(1, 9)]
+
+
+def spoil(path, keep):
+    """Make the files of all partitions but ``keep`` unreadable."""
+    for day in DAYS:
+        if day not in keep and os.path.isdir(f"{path}/day={day}"):
+            for name in os.listdir(f"{path}/day={day}"):
+                if name.endswith(".parquet"):
+                    with open(f"{path}/day={day}/{name}", "wb") as f:
+                        f.write(b"not parquet")
+                    crc = f"{path}/day={day}/.{name}.crc"
+                    if os.path.exists(crc):
+                        os.unlink(crc)
+
+
+@pytest.mark.parametrize("old_table", [False, True])
+def test_an_upsert_opens_only_partitions_its_filters_name(spark, old_table):
+    import shutil
+
+    from tillhouse.sources import keyfilters
+
+    path = tempfile.mkdtemp(prefix="tillhouse-") + "/t"
+    rows = spark.range(4000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit(1).alias("v"), F.expr("date_add(date'2024-01-01', cast(id % 8 as int))").alias("day"))
+    sinks.incremental_upsert(spark, path, rows, ["k"], "day")
+    if old_table:  # a table from before there were filters
+        shutil.move(f"{path}/{keyfilters.FOLDER}", tempfile.mkdtemp(prefix="tillhouse-"))
+    batch = spark.createDataFrame([("k9", 2, DAYS[4]), ("new", 2, DAYS[4]), ("k12", 2, DAYS[4])], "k string, v int, day date")  # k9 stood on the 2nd, k12 on the 5th
+    named = sinks.partitions_with_keys(spark, path, batch, ["k"], "day")
+    assert {DAYS[1], DAYS[4]} <= set(named) and len(named) < 5
+    spoil(path, {*named, DAYS[4]})
+    sinks.incremental_upsert(spark, path, batch, ["k"], "day")
+    got = spark.read.schema(batch.schema).parquet(path).where(c("day").isin(DAYS[1], DAYS[4]))
+    assert got.count() == 1001 and got.where("v = 2").count() == 3 and got.where("k = 'k9'").first()["day"] == DAYS[4]
+    found = sinks.rows_with_keys(spark, path, spark.createDataFrame([("k9",), ("none",)], "k string"), ["k"], "day", batch.schema)
+    assert [tuple(r) for r in found.collect()] == [("k9", 2, DAYS[4])]
+
+
+def test_filters_never_miss_a_key(spark):
+    from tillhouse.sources import keyfilters
+
+    rows = spark.range(60_000).select((F.col("id") * 7919 % 100_003).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 3).alias("b"), F.expr("case when id < 50000 then 'big' when id < 50010 then 'small' when id < 50011 then null else 'mid' end").alias("p"))
+    filters = materialise(keyfilters.key_filters(rows, ["a", "b"], "p"), "filters")
+    assert filters.select("level").distinct().count() >= 3
+    for p, some in (("big", 500), ("small", 10), (None, 1), ("mid", 100)):
+        for row in rows.where(c("p").eqNullSafe(F.lit(p))).limit(some).select("a", "b").collect()[:: max(1, some // 4)]:
+            one = spark.createDataFrame([tuple(row)], "a long, b long")
+            assert p in [r["p"] for r in keyfilters.partitions_named(filters, one, ["a", "b"], "p").collect()]
+    strangers = spark.range(2000).select((F.col("id") + 1_000_000).alias("a"), F.lit(1).cast("long").alias("b"))
+    assert keyfilters.partitions_named(filters, strangers, ["a", "b"], "p").count() == 0  # outside every range
+    inside = spark.createDataFrame([(3, 9)], "a long, b long")
+    assert keyfilters.partitions_named(filters, inside, ["a", "b"], "p").count() <= 1
+    keyless = spark.createDataFrame([(None, 1)], "a long, b long")
+    assert keyfilters.partitions_named(filters, keyless, ["a", "b"], "p").count() == 0
+
+
+def test_an_upsert_cut_short_is_repeated_with_the_same_outcome(spark, monkeypatch):
+    """The run dies after its filters are added, after the data is in place, and before the filters are replaced."""
+    from tillhouse.sources import keyfilters
+
+    ddl = "k string, v int, day date"
+    first = spark.createDataFrame([(f"k{i}", 1, DAYS[i % 4]) for i in range(40)], ddl)
+    second = spark.createDataFrame([("k1", 2, DAYS[6]), ("k2", 2, DAYS[6]), ("n", 2, DAYS[0])], ddl)
+    for broken in ("_drop_partition", "gathered", None):
+        path = tempfile.mkdtemp(prefix="tillhouse-") + "/t"
+        sinks.incremental_upsert(spark, path, first.where("k <> 'k1' or true"), ["k"], "day")
+        only = spark.createDataFrame([("solo", 1, DAYS[5])], ddl)
+        sinks.incremental_upsert(spark, path, only, ["k"], "day")
+        batch = second.union(spark.createDataFrame([("solo", 2, DAYS[6])], ddl))
+
+        def fail(*args):
+            raise RuntimeError("lost")
+
+        with monkeypatch.context() as m:
+            m.setattr(*((sinks, broken) if broken else (keyfilters, "replace")), fail)
+            with pytest.raises(RuntimeError, match="lost"):
+                sinks.incremental_upsert(spark, path, batch, ["k"], "day")
+        sinks.incremental_upsert(spark, path, batch, ["k"], "day")
+        got = sorted((r["k"], r["v"], r["day"]) for r in spark.read.parquet(path).collect())
+        want = {f"k{i}": (1, DAYS[i % 4]) for i in range(40)} | {"k1": (2, DAYS[6]), "k2": (2, DAYS[6]), "n": (2, DAYS[0]), "solo": (2, DAYS[6])}
+        assert got == sorted((k, v, d) for k, (v, d) in want.items())
+        assert not os.path.isdir(f"{path}/day={DAYS[5]}")
+
+
+def test_a_partition_column_may_begin_with_v(spark):
+    path = tempfile.mkdtemp(prefix="tillhouse-") + "/t"
+    for v in (1, 2):
+        sinks.incremental_upsert(spark, path, spark.createDataFrame([("a", v, "x"), ("b", v, "y")], "k string, n int, vendor string"), ["k"], "vendor")
+    assert sinks.table_exists(spark, path) and sorted(r["n"] for r in spark.read.parquet(path).collect()) == [2, 2]

@@ -14,11 +14,15 @@ between is repeated with the same outcome.
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.session import discard, materialise
+from tillhouse.sources import keyfilters
+
 
 def gathered(df: DataFrame, partition: str) -> DataFrame:
     """Rows of one partition together, so that it is written as few large files.
@@ -41,7 +45,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     if not fs.exists(folder):
         return []
     names = [entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory()]
-    found = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+    found = [int(n[1:]) for n in names if re.fullmatch(r"v\d+", n)]
     return sorted(v for v in found if fs.exists(_folder(spark, f"{path}/v{v:06d}/_SUCCESS")[0]))
 
 
@@ -54,7 +58,7 @@ def current_path(spark: SparkSession, path: str) -> str | None:
     if not fs.exists(folder):
         return None
     names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
-    return path if any(n[:1] not in ("_", ".", "v") for n in names) else None
+    return path if any(n[:1] not in ("_", ".") and not re.fullmatch(r"v\d+", n) for n in names) else None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -81,32 +85,97 @@ def upserted(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     return without_keys(target, batch, keys).unionByName(batch)
 
 
-def incremental_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition: str) -> None:
-    """SNK1: rewrite only the partitions the batch touches.
+def _names(spark: SparkSession, path: str, partition: str) -> set[str]:
+    """The partition folders there are."""
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return set()
+    names = (entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory())
+    return {n for n in names if n.startswith(f"{partition}=")}
+
+
+def _in_partitions(df: DataFrame, partition: str, values: list) -> DataFrame:
+    """Rows of the partitions named: Spark opens no file of the others."""
+    some = F.col(partition).isin([v for v in values if v is not None])
+    return df.where(some | F.col(partition).isNull() if None in values else some)
+
+
+def _values(df: DataFrame, partition: str) -> list:
+    """Partition values, once each: as many as the table has partitions, at most."""
+    return [r[0] for r in df.select(partition).distinct().toLocalIterator()]
+
+
+def partitions_with_keys(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition: str) -> list:
+    """Partitions of the table at ``path`` that may hold a key of ``batch``, by the stored filters.
+
+    A partition without filters (a table from before there were any) gets them first.
+    """
+    without = _names(spark, path, partition) - _names(spark, f"{path}/{keyfilters.FOLDER}", partition)
+    if without:
+        folders = [f"{path}/{name}" for name in sorted(without)]
+        rows = spark.read.schema(batch.schema).option("basePath", path).parquet(*folders)
+        keyfilters.add(keyfilters.key_filters(rows, keys, partition), path, partition)
+    filters = keyfilters.read(spark, path, batch, keys, partition)
+    return _values(keyfilters.partitions_named(filters, batch, keys, partition), partition)
+
+
+def rows_with_keys(spark: SparkSession, path: str, wanted: DataFrame, keys: list[str], partition: str, schema) -> DataFrame:
+    """Rows of an upserted table that share ``keys`` with ``wanted``; only partitions its filters name are read.
+
+    ``keys`` are the columns the table's filters are built on.
+    """
+    target = spark.read.schema(schema).parquet(path)
+    like = wanted.select(*keys).withColumn(partition, F.lit(None).cast(target.schema[partition].dataType))
+    named = partitions_with_keys(spark, path, like, keys, partition)
+    return _sharing(_in_partitions(target, partition, named), wanted, keys)
+
+
+def _sharing(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``other`` (NULL parts compare as equal)."""
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return df.join(other.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct(), on, "left_semi")
+
+
+def incremental_upsert(
+    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition: str, lookup: list[str] | None = None,
+    changes: Callable[[DataFrame, DataFrame], None] | None = None,
+) -> None:
+    """SNK1: rewrite only the partitions the batch touches, and read only those that may hold its keys.
 
-    Touched are the batch's own partitions and those where the target holds one
-    of its keys; finding them reads the key columns only.  Their names stay in
-    Spark, however many they are.
+    Touched are the batch's own partitions and those where the target holds one of its keys.  Which may hold
+    them is told by stored filters of each partition's keys (``keyfilters``); the others are not opened.
+    ``lookup`` are the columns the filters are built on, if not ``keys``; they must follow from the key.
+    ``changes`` is called with the rows put in and the rows they replaced, once the table holds the former.
     """
+    lookup = lookup or keys
     batch = materialise(batch, "upsert-batch")
     if not table_exists(spark, path):
-        gathered(batch, partition).write.partitionBy(partition).parquet(path)
+        keyfilters.add(keyfilters.key_filters(batch, lookup, partition), path, partition)
+        gathered(batch, partition).write.mode("append").partitionBy(partition).parquet(path)
+        if changes:
+            changes(batch, batch.limit(0))
         discard(batch)
         return
     target = spark.read.schema(batch.schema).parquet(path)
-    hit = target.select(partition, *[k for k in keys if k != partition]).join(
-        batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct(),
-        [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi",
-    ).select(partition)
-    touched = materialise(hit.union(batch.select(partition)).distinct().withColumnRenamed(partition, "_touched"), "upsert-touched")
-    inside = target.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    own, named = _values(batch, partition), partitions_with_keys(spark, path, batch, lookup, partition)
+    further = [v for v in named if v not in own]
+    hit = _values(_sharing(_in_partitions(target, partition, further), batch, keys), partition) if further else []
+    inside = _in_partitions(target, partition, [*own, *hit])
     merged = materialise(upserted(inside, batch, keys), "upsert-merged")
+    filters = materialise(keyfilters.key_filters(merged, lookup, partition), "upsert-filters")
+    replaced = materialise(_sharing(inside, batch, keys), "upsert-replaced") if changes else None
+    keyfilters.add(filters, path, partition)
     writer = gathered(merged, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(path)
-    left = merged.select(F.col(partition).alias("_left")).distinct()
-    for row in touched.join(left, F.col("_touched").eqNullSafe(F.col("_left")), "left_anti").toLocalIterator():
-        _drop_partition(spark, path, partition, row["_touched"])
-    for scratch in (batch, touched, merged):
+    left = set(_values(merged, partition))
+    for value in hit:
+        if value not in left:
+            _drop_partition(spark, path, partition, value)
+            _drop_partition(spark, f"{path}/{keyfilters.FOLDER}", partition, value)
+    keyfilters.replace(filters, path, partition)
+    if changes:
+        changes(batch, replaced)
+    for scratch in (batch, merged, filters, *([replaced] if changes else [])):
         discard(scratch)
 
 
