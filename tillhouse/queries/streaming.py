@@ -90,7 +90,7 @@ def _figures(spark, sf):
     area = _area(spark)
     figures = live.live_figures(_messages(spark, sf, area), standin.live_stores(spark, sf))
     live.write_figures(figures, f"{area}/figures", f"{area}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{area}/figures")
+    return live.read_figures(spark, f"{area}/figures")
 
 
 @query("str5_live_store_figures")

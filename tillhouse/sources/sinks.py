@@ -39,14 +39,24 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """The finished versions of a table, ascending."""
+def subfolders(spark: SparkSession, path: str, finished: bool = False) -> list[str]:
+    """Names of the folders under ``path``; ``finished``: only those a write has committed."""
     folder, fs = _folder(spark, path)
     if not fs.exists(folder):
         return []
     names = [entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory()]
-    found = [int(n[1:]) for n in names if re.fullmatch(r"v\d+", n)]
-    return sorted(v for v in found if fs.exists(_folder(spark, f"{path}/v{v:06d}/_SUCCESS")[0]))
+    return [n for n in names if not finished or fs.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0])]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions of a table, ascending."""
+    return sorted(int(n[1:]) for n in subfolders(spark, path, finished=True) if re.fullmatch(r"v\d+", n))
 
 
 def current_path(spark: SparkSession, path: str) -> str | None:
@@ -87,11 +97,7 @@ def upserted(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
 def _names(spark: SparkSession, path: str, partition: str) -> set[str]:
     """The partition folders there are."""
-    folder, fs = _folder(spark, path)
-    if not fs.exists(folder):
-        return set()
-    names = (entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory())
-    return {n for n in names if n.startswith(f"{partition}=")}
+    return {n for n in subfolders(spark, path) if n.startswith(f"{partition}=")}
 
 
 def _in_partitions(df: DataFrame, partition: str, values: list) -> DataFrame:
@@ -182,8 +188,7 @@ def incremental_upsert(
 def _drop_partition(spark: SparkSession, path: str, partition: str, value) -> None:
     """Remove a partition all of whose rows moved elsewhere."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    folder, fs = _folder(spark, f"{path}/{partition}={name}")
-    fs.delete(folder, True)
+    delete(spark, f"{path}/{partition}={name}")
 
 
 def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> None:

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillhouse.functions.dates import utc_clock, utc_instant
+from tillhouse.functions.dates import utc_instant
 from tillhouse.functions.measures import money_total
 from tillhouse.operators.streams import coerce_types, drop_marked_duplicates, enrich_with_stores, parse_messages
-from tillhouse.sources.sinks import incremental_upsert
+from tillhouse.streaming.figures import FOLD_EVERY, FigureStore
 
 # Fixed values of the live feed.
 TOPIC = "daily-retail-transactions"
@@ -125,15 +125,19 @@ def write_daily_files(lines: DataFrame, path: str, checkpoint: str, available_no
     return _start(writer.option("path", path), checkpoint, available_now)
 
 
-def write_figures(figures: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """STR5: keep a table of current figures; a repeated batch replaces its own rows."""
+def write_figures(figures: DataFrame, path: str, checkpoint: str, available_now: bool = False, fold_every: int = FOLD_EVERY) -> StreamingQuery:
+    """STR5: keep current figures; a trigger writes only what it changed, and a repeated one replaces its own rows."""
     def store(batch: DataFrame, epoch: int) -> None:
-        rows = batch.withColumn("day", F.to_date(utc_clock(F.col("window_start"))))
-        incremental_upsert(batch.sparkSession, path, rows, ["window_start", "store_name"], "day")
+        FigureStore(batch.sparkSession, path, fold_every).append(batch, epoch)
 
     return _start(figures.writeStream.outputMode("update").foreachBatch(store), checkpoint, available_now)
 
 
+def read_figures(spark: SparkSession, path: str) -> DataFrame:
+    """STR5: the figures as of the last trigger."""
+    return FigureStore(spark, path).current()
+
+
 def write_closed_windows(figures: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """STR7: only windows the watermark has passed, appended once."""
     return _start(figures.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, available_now)
