@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from tillhouse.context import RunContext
 from tillhouse.operators import incremental, scd
 from tillhouse.plans import intermediate, marts, profiles, staging
+from tillhouse.plans.profile_state import ProfileState
 from tillhouse.session import materialise
 from tillhouse.sources import sinks
 
 MASTER = ("customers", "products", "stores")
+TABLE_OF = {"staging": "stg_transactions", "intermediate": "intmd_transactions"}
 # A copy of a line has a raw id of its own: loading a line again replaces that line only.
 LINE_KEY = ["transaction_id_clean", "product_id", "transaction_id_raw"]
 
@@ -53,10 +55,19 @@ class Lake:
     def replace(self, name: str, df: DataFrame) -> None:
         sinks.overwrite_table(df, self.path(name))
 
-    def upsert_lines(self, name: str, batch: DataFrame, keys: list[str], date: str) -> None:
-        """Lines: only the partitions the batch touches are rewritten."""
+    def upsert_lines(self, name: str, batch: DataFrame, keys: list[str], date: str, layer: profiles.Layer | None = None) -> None:
+        """Lines: only the partitions the batch touches are rewritten, and the profile of ``layer`` takes what changed."""
         rows = batch.withColumn("part", F.date_trunc(self.grain, date).cast("date"))
-        sinks.incremental_upsert(self.spark, self.path(name), rows, keys, "part")
+        if layer is None:
+            sinks.incremental_upsert(self.spark, self.path(name), rows, keys, "part")
+            return
+        state = self.profile_state(layer)
+        state.begin()
+        sinks.incremental_upsert(self.spark, self.path(name), rows, keys, "part", [layer.transaction], state.apply)
+
+    def profile_state(self, layer: profiles.Layer) -> ProfileState:
+        """What is kept of a layer's line table to profile it."""
+        return ProfileState(self.spark, self.path(f"{layer.name}_profile_state"), layer, self.path(TABLE_OF[layer.name]))
 
     def upsert(self, name: str, batch: DataFrame, keys: list[str]) -> None:
         """Master data: small against the lines, kept as one unpartitioned table."""
@@ -90,7 +101,7 @@ def stage(lake: Lake, batch: Batch, ctx: RunContext) -> None:
         mark = incremental.high_water_mark(lake.read(table), "raw_loaded_at")
         lines = incremental.newer_than(lines, "data_created_modified", mark, again=True)
     staged = staging.stage_transactions(lines, staging.store_name_of_lines(batch.transactions), ctx)
-    lake.upsert_lines(table, staged, LINE_KEY, "raw_loaded_at")
+    lake.upsert_lines(table, staged, LINE_KEY, "raw_loaded_at", profiles.StagingLayer())
 
 
 def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
@@ -104,7 +115,7 @@ def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
         mark = incremental.high_water_mark(lake.read(table), "staging_processed_at")
         staged = incremental.newer_than(staged, "staging_processed_at", mark, again=True)
     lines = intermediate.refine_transactions(staged, ctx)
-    lake.upsert_lines(table, lines, ["line_item_key"], "transaction_date")
+    lake.upsert_lines(table, lines, ["line_item_key"], "transaction_date", profiles.IntermediateLayer())
 
 
 def model(lake: Lake, ctx: RunContext) -> None:
@@ -125,15 +136,13 @@ def model(lake: Lake, ctx: RunContext) -> None:
 
 
 def profile(lake: Lake, ctx: RunContext, layer: str) -> DataFrame:
-    """The layer's profile, upserted by day, and its gate."""
-    if layer == "staging":
-        graded = profiles.grade_staging(profiles.staging_profile(lake.read("stg_transactions")), ctx)
-        gate = profiles.staging_gate
-    else:
-        graded = profiles.grade_intermediate(profiles.intermediate_profile(lake.read("intmd_transactions")), ctx)
-        gate = profiles.intermediate_gate
+    """The layer's profile, upserted by day, and its gate; the table itself is not read."""
+    kind, grade, gate = {
+        "staging": (profiles.StagingLayer(), profiles.grade_staging, profiles.staging_gate),
+        "intermediate": (profiles.IntermediateLayer(), profiles.grade_intermediate, profiles.intermediate_gate),
+    }[layer]
     table = f"{layer}_transactions_profile"
-    lake.upsert(table, graded, ["profile_date"])
+    lake.upsert(table, grade(lake.profile_state(kind).profile(), ctx), ["profile_date"])
     return gate(lake.read(table))
 
 

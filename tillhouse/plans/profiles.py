@@ -1,6 +1,6 @@
 """Daily quality profiles and the gates that read them (AGG1-AGG7, GAT1-GAT3).
 
-Each profile is put together from narrow aggregations joined by day.  Counts per
+Each profile is put together from narrow aggregations added up by day.  Counts per
 key and the first line of a transaction are aggregated, never windowed over
 whole groups, so a hot transaction or product does not land in one task.
 Averages and money totals are rounded to four places: the result must not
@@ -9,6 +9,8 @@ depend on the order in which partitions are added up.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -61,68 +63,153 @@ def clamped_score(penalties: list[Column]) -> Column:
     return F.greatest(F.lit(0.0), score)
 
 
-def staging_profile(staged: DataFrame) -> DataFrame:
-    """AGG1: one row per staging day.  ``staged`` should be a stored table: it is read three times."""
-    lines = staged.select(*STAGING_COLUMNS).withColumn("profile_date", F.date_trunc("day", "staging_processed_at").cast("timestamp_ntz"))
-    n = F.count("*")
-    txns = F.countDistinct("transaction_id_clean")
-
-    def flags(c: str) -> Column:
-        return F.sum(c)
-
-    main = lines.groupBy("profile_date").agg(
-        F.min("transaction_date").alias("min_transaction_date"), F.max("transaction_date").alias("max_transaction_date"),
-        n.alias("total_line_items"), txns.alias("unique_transactions"),
-        F.countDistinct("customer_id").alias("unique_customers"), F.countDistinct("product_id").alias("unique_products_sold"),
-        F.countDistinct("store_id").alias("unique_stores"),
-        flags("missing_transaction_id_flag").alias("missing_transaction_id_clean_count"),
-        flags("missing_date_flag").alias("missing_date_count"),
-        flags("missing_customer_id_flag").alias("missing_customer_id_count"),
-        flags("missing_product_id_flag").alias("missing_product_id_count"),
-        flags("negative_quantity_flag").alias("negative_quantity_count"),
-        flags("negative_amount_flag").alias("negative_amount_count"),
-        flags("zero_total_amount_flag").alias("zero_total_count"),
-        flags("zero_quantity_flag").alias("zero_quantity_count"),
-        flags("high_unit_price_flag").alias("high_unit_price_count"),
-        money_total(F.sum("line_total"), 4).alias("total_line_item_revenue"),
-        money_total(F.avg("line_total"), 4).alias("avg_line_item_value"),
-        F.sum("quantity").alias("total_quantity_sold"), money_total(F.avg("quantity"), 4).alias("avg_quantity_per_line"),
-        count_if(F.col("is_refund")).alias("refund_line_items"),
-        count_if(F.col("has_promotion")).alias("promotion_line_items"),
-        count_if(F.col("quantity") < 0).alias("negative_quantity_lines"),
-    )
+class Layer:
+    """What a profile counts: figures that add up over lines, over transactions, and distinct values per day.
 
-    per_pair = lines.groupBy("profile_date", "transaction_id_clean", "product_id").agg(F.count("*").alias("n"))
-    # Partitions of this window hold one row per day a line was staged on.
-    pair = Window.partitionBy("transaction_id_clean", "product_id")
-    pairs = per_pair.withColumn("occurrences", F.sum("n").over(pair)).groupBy("profile_date").agg(
-        F.count("*").alias("unique_txn_product_combinations"),
-        F.sum(F.when(F.col("occurrences") > 1, F.col("n")).otherwise(0)).alias("duplicate_txn_product_line_items"),
-    )
+    Lines carry ``w``, how often each counts: 1, or -1 for a line that has been replaced.  So the figures of a
+    batch's changes can be added to those held (``plans/profile_state.py``).
+    """
 
-    order = [F.col("product_id").asc_nulls_last(), F.col("transaction_id_raw").asc(), F.col("total_amount").asc(), F.col("profile_date").asc()]
-    heads = first_line_per_transaction(lines, "transaction_id_clean", order)
-    headers = heads.groupBy("profile_date").agg(money_total(F.sum("total_amount"), 4).alias("total_transaction_revenue"))
-
-    total = F.col("total_line_items")
-    pct = lambda c: percent(F.col(c), total)
-    return (
-        main.join(pairs, "profile_date").join(headers, "profile_date", "left")
-        .withColumn("total_transaction_revenue", F.coalesce("total_transaction_revenue", F.lit(0.0)))
-        .withColumns({
-            "avg_line_items_per_transaction": money_total(percent(total, F.col("unique_transactions")) / 100.0),
-            "missing_txn_id_pct": money_total(pct("missing_transaction_id_clean_count")),
-            "missing_date_pct": money_total(pct("missing_date_count")),
-            "missing_customer_pct": money_total(pct("missing_customer_id_count")),
-            "missing_product_pct": money_total(pct("missing_product_id_count")),
-            "negative_quantity_pct": money_total(pct("negative_quantity_count")),
-            "zero_total_pct": money_total(pct("zero_total_count")),
-            "line_item_quality_score": money_total(clamped_score([
+    name: str
+    at: str  # its day is the profile's
+    transaction: str
+    columns: list[str]
+    measures: list[str]
+    distinct: dict[str, str]  # figure: column
+    line: list[str]  # what tells lines apart where figures over transactions are concerned
+    dated: str | None = None  # first and last day of this column are figures
+
+    def counts(self) -> dict[str, Column]:
+        """Figures that count lines, and the test of each."""
+        raise NotImplementedError
+
+    def per_transaction(self, lines: DataFrame) -> list[DataFrame]:
+        """Figures by day that are sums over transactions."""
+        raise NotImplementedError
+
+    def finish(self, figures: DataFrame) -> DataFrame:
+        """Averages, shares and the score."""
+        raise NotImplementedError
+
+    def weighted(self, lines: DataFrame, w: int = 1) -> DataFrame:
+        """Lines of a stored table, with their day and weight."""
+        day = F.date_trunc("day", self.at).cast("timestamp_ntz").alias("profile_date")
+        return lines.select(day, *[c for c in self.columns if c != self.at], F.lit(w).cast("bigint").alias("w"))
+
+    def sums(self, lines: DataFrame) -> DataFrame:
+        """Figures that add up over lines."""
+        def signed(m: str) -> Column:
+            return F.sum(F.col(m).cast("decimal(28,8)") * F.col("w").cast("decimal(9,0)")).cast("decimal(38,8)")
+
+        return lines.groupBy("profile_date").agg(
+            F.sum("w").alias("total_line_items"), *[F.sum(F.when(test, F.col("w")).otherwise(0)).alias(k) for k, test in self.counts().items()],
+            *[signed(m).alias(f"sum_{m}") for m in self.measures],
+            *[F.sum(F.when(F.col(m).isNotNull(), F.col("w")).otherwise(0)).alias(f"n_{m}") for m in self.measures],
+        )
+
+    def references(self, lines: DataFrame) -> DataFrame:
+        """``profile_date, kind, value, n``: how often each value stands on a day.  A scan of two columns per kind."""
+        kinds = {*self.distinct.values(), *([self.dated] if self.dated else [])}
+        parts = [
+            lines.where(F.col(c).isNotNull()).groupBy("profile_date", F.col(c).cast("string").alias("value")).agg(F.sum("w").alias("n"))
+            .select("profile_date", F.lit(c).alias("kind"), "value", "n") for c in sorted(kinds)
+        ]
+        return reduce(DataFrame.unionAll, parts)
+
+    def distinct_figures(self, references: DataFrame) -> DataFrame:
+        """Distinct values per day, and the first and last date, from references that are held at least once."""
+        of = lambda c: F.col("kind") == c
+        days = [f(F.when(of(self.dated), F.col("value").cast("date"))).alias(f"{n}_{self.dated}") for f, n in ((F.min, "min"), (F.max, "max"))] if self.dated else []
+        return references.groupBy("profile_date").agg(*[count_if(of(c)).alias(k) for k, c in self.distinct.items()], *days)
+
+    def figures(self, lines: DataFrame) -> DataFrame:
+        """All figures of a table, a row per day; it is read once per kind of figure, two to twelve columns each."""
+        rows = self.weighted(lines)
+        return self.together([self.sums(rows), self.distinct_figures(self.references(rows)), *self.per_transaction(rows)])
+
+    def together(self, parts: list[DataFrame]) -> DataFrame:
+        """Rows of figures added up by day; a figure a part does not have counts as none."""
+        whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        dates = {f"{n}_{self.dated}": f for f, n in ((F.min, "min"), (F.max, "max"))}
+        return whole.groupBy("profile_date").agg(*[
+            dates[c](c).alias(c) if c in dates else F.coalesce(F.sum(c), F.lit(0)).cast(whole.schema[c].dataType).alias(c)
+            for c in whole.columns if c != "profile_date"
+        ])
+
+
+def _total(m: str, whole: bool = False) -> Column:
+    """The sum of a measure, NULL if no line has one."""
+    held = F.when(F.col(f"n_{m}") > 0, F.col(f"sum_{m}"))
+    return held.cast("bigint") if whole else money_total(held, 4)
+
+
+def _mean(m: str) -> Column:
+    return money_total(F.col(f"sum_{m}").cast("double") / F.nullif(F.col(f"n_{m}").cast("double"), F.lit(0.0)), 4)
+
+
+def _headers(lines: DataFrame, transaction: str, order: list[Column]) -> DataFrame:
+    """The header money of each transaction, on the day of its first line."""
+    heads = first_line_per_transaction(lines, transaction, order)
+    return heads.groupBy("profile_date").agg(F.sum(F.col("total_amount").cast("decimal(28,8)")).cast("decimal(38,8)").alias("sum_headers"))
+
+
+class StagingLayer(Layer):
+    """AGG1: by staging day."""
+
+    name, at, transaction, columns = "staging", "staging_processed_at", "transaction_id_clean", STAGING_COLUMNS
+    measures = ["line_total", "quantity"]
+    distinct = {"unique_customers": "customer_id", "unique_products_sold": "product_id", "unique_stores": "store_id"}
+    line = ["transaction_id_clean", "product_id", "transaction_id_raw", "total_amount"]
+    dated = "transaction_date"
+
+    def counts(self) -> dict[str, Column]:
+        flags = {
+            "missing_transaction_id_clean_count": "missing_transaction_id_flag", "missing_date_count": "missing_date_flag",
+            "missing_customer_id_count": "missing_customer_id_flag", "missing_product_id_count": "missing_product_id_flag",
+            "negative_quantity_count": "negative_quantity_flag", "negative_amount_count": "negative_amount_flag",
+            "zero_total_count": "zero_total_amount_flag", "zero_quantity_count": "zero_quantity_flag", "high_unit_price_count": "high_unit_price_flag",
+        }
+        return {k: F.col(c) == 1 for k, c in flags.items()} | {
+            "refund_line_items": F.col("is_refund"), "promotion_line_items": F.col("has_promotion"), "negative_quantity_lines": F.col("quantity") < 0,
+        }
+
+    def per_transaction(self, lines: DataFrame) -> list[DataFrame]:
+        per_pair = lines.groupBy("profile_date", "transaction_id_clean", "product_id").agg(F.sum("w").alias("n"))
+        # Partitions of this window hold one row per day a line was staged on.
+        pair = Window.partitionBy("transaction_id_clean", "product_id")
+        pairs = per_pair.withColumn("occurrences", F.sum("n").over(pair)).groupBy("profile_date").agg(
+            F.count("*").alias("unique_txn_product_combinations"), F.countDistinct("transaction_id_clean").alias("unique_transactions"),
+            F.sum(F.when(F.col("occurrences") > 1, F.col("n")).otherwise(0)).alias("duplicate_txn_product_line_items"),
+        )
+        order = [F.col("product_id").asc_nulls_last(), F.col("transaction_id_raw").asc(), F.col("total_amount").asc(), F.col("profile_date").asc()]
+        return [pairs, _headers(lines, "transaction_id_clean", order)]
+
+    def finish(self, figures: DataFrame) -> DataFrame:
+        c, total = F.col, F.col("total_line_items")
+        pct = lambda n: percent(c(n), total)
+        return figures.select(
+            "profile_date", "min_transaction_date", "max_transaction_date", "total_line_items", "unique_transactions", *self.distinct,
+            *list(self.counts())[:9], _total("line_total").alias("total_line_item_revenue"), _mean("line_total").alias("avg_line_item_value"),
+            _total("quantity", True).alias("total_quantity_sold"), _mean("quantity").alias("avg_quantity_per_line"),
+            *list(self.counts())[9:], "unique_txn_product_combinations", "duplicate_txn_product_line_items",
+            money_total(c("sum_headers"), 4).alias("total_transaction_revenue"),
+            money_total(percent(total, c("unique_transactions")) / 100.0).alias("avg_line_items_per_transaction"),
+            money_total(pct("missing_transaction_id_clean_count")).alias("missing_txn_id_pct"),
+            money_total(pct("missing_date_count")).alias("missing_date_pct"),
+            money_total(pct("missing_customer_id_count")).alias("missing_customer_pct"),
+            money_total(pct("missing_product_id_count")).alias("missing_product_pct"),
+            money_total(pct("negative_quantity_count")).alias("negative_quantity_pct"),
+            money_total(pct("zero_total_count")).alias("zero_total_pct"),
+            money_total(clamped_score([
                 pct("missing_transaction_id_clean_count"), pct("missing_date_count"), pct("missing_product_id_count"),
                 pct("negative_quantity_count") * 0.5, pct("zero_total_count") * 0.5,
-            ]), 4),
-        })
-    )
+            ]), 4).alias("line_item_quality_score"),
+        )
+
+
+def staging_profile(staged: DataFrame) -> DataFrame:
+    """AGG1: one row per staging day.  ``staged`` should be a stored table: it is read once per kind of figure."""
+    return StagingLayer().finish(StagingLayer().figures(staged))
 
 
 def grade_staging(profile: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
@@ -151,54 +238,61 @@ def grade_staging(profile: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
     )
 
 
-def intermediate_profile(lines: DataFrame) -> DataFrame:
-    """AGG3: one row per processing day.  ``lines`` is read twice."""
-    c = F.col
-    df = lines.select(*INTERMEDIATE_COLUMNS).withColumn("profile_date", F.date_trunc("day", "intermediate_processed_at").cast("timestamp_ntz"))
-    status = {"clean_records": "CLEAN", "corrected_records": "CORRECTED", "incomplete_records": "INCOMPLETE"}
-    types = {"regular_sale_items": "Regular Sale", "discounted_items": "Discounted", "refund_items": "Refund"}
-    flags = {
-        "refund_line_items": "is_refund", "promotion_line_items": "has_promotion", "discount_line_items": "has_discount",
-        "bulk_purchase_line_items": "is_bulk_purchase", "high_value_line_items": "is_high_value_item",
-        "weekend_transactions": "is_weekend", "transactions_with_loyalty_points": "earned_loyalty_points",
-    }
-    parts = {"morning_transactions": "Morning", "afternoon_transactions": "Afternoon", "evening_transactions": "Evening"}
+class IntermediateLayer(Layer):
+    """AGG3: by processing day."""
+
+    name, at, transaction, columns = "intermediate", "intermediate_processed_at", "transaction_id", INTERMEDIATE_COLUMNS
+    measures = ["line_total_clean", "quantity_clean", "discount_percent", "discount_amount", "loyalty_points_earned"]
     distinct = {
-        "unique_line_items": "line_item_key", "unique_transactions": "transaction_id", "unique_customers": "customer_id",
-        "unique_products_sold": "product_id", "unique_stores": "store_id", "unique_payment_methods": "payment_method",
+        "unique_customers": "customer_id", "unique_products_sold": "product_id", "unique_stores": "store_id", "unique_payment_methods": "payment_method",
     }
-    main = df.groupBy("profile_date").agg(
-        F.count("*").alias("total_line_items"),
-        *[F.countDistinct(v).alias(k) for k, v in distinct.items()],
-        *[count_if(c("data_quality_status") == v).alias(k) for k, v in status.items()],
-        money_total(F.sum("line_total_clean"), 4).alias("total_line_item_revenue"),
-        money_total(F.avg("line_total_clean"), 4).alias("avg_line_item_value"),
-        F.sum("quantity_clean").alias("total_quantity_sold"), money_total(F.avg("quantity_clean"), 4).alias("avg_quantity_per_line"),
-        *[count_if(c(v)).alias(k) for k, v in flags.items()],
-        *[count_if(c("transaction_type") == v).alias(k) for k, v in types.items()],
-        count_if(c("transaction_type").contains("Promotion")).alias("promotional_items"),
-        *[count_if(c("time_of_day").contains(v)).alias(k) for k, v in parts.items()],
-        money_total(F.avg("discount_percent"), 4).alias("avg_discount_percent"),
-        money_total(F.sum("discount_amount"), 4).alias("total_discount_amount"),
-        F.sum("loyalty_points_earned").alias("total_loyalty_points_earned"),
-    )
-    heads = first_line_per_transaction(df, "transaction_id", [c("product_id").asc_nulls_last(), c("line_item_key").asc()])
-    headers = heads.groupBy("profile_date").agg(money_total(F.sum("total_amount"), 4).alias("total_transaction_revenue"))
-    total = c("total_line_items")
-    pct = lambda n: percent(c(n), total)
-    return (
-        main.join(headers, "profile_date", "left")
-        .withColumn("total_transaction_revenue", F.coalesce("total_transaction_revenue", F.lit(0.0)))
-        .withColumns({
-            "avg_items_per_transaction": money_total(percent(total, c("unique_transactions")) / 100.0),
-            "clean_pct": money_total(pct("clean_records")), "corrected_pct": money_total(pct("corrected_records")),
-            "refund_pct": money_total(pct("refund_line_items")), "promotion_pct": money_total(pct("promotion_line_items")),
-            "weekend_pct": money_total(pct("weekend_transactions")),
-            "transaction_intermediate_quality_score": money_total(clamped_score([
+    line = ["transaction_id", "product_id", "line_item_key", "total_amount"]
+
+    def counts(self) -> dict[str, Column]:
+        c = F.col
+        status = {"clean_records": "CLEAN", "corrected_records": "CORRECTED", "incomplete_records": "INCOMPLETE"}
+        flags = {
+            "refund_line_items": "is_refund", "promotion_line_items": "has_promotion", "discount_line_items": "has_discount",
+            "bulk_purchase_line_items": "is_bulk_purchase", "high_value_line_items": "is_high_value_item",
+            "weekend_transactions": "is_weekend", "transactions_with_loyalty_points": "earned_loyalty_points",
+        }
+        types = {"regular_sale_items": "Regular Sale", "discounted_items": "Discounted", "refund_items": "Refund"}
+        parts = {"morning_transactions": "Morning", "afternoon_transactions": "Afternoon", "evening_transactions": "Evening"}
+        return (
+            {k: c("data_quality_status") == v for k, v in status.items()} | {k: c(v) for k, v in flags.items()}
+            | {k: c("transaction_type") == v for k, v in types.items()} | {"promotional_items": c("transaction_type").contains("Promotion")}
+            | {k: c("time_of_day").contains(v) for k, v in parts.items()}
+        )
+
+    def per_transaction(self, lines: DataFrame) -> list[DataFrame]:
+        # A line's key follows from its transaction and product, so no key stands in two transactions.
+        keys = lines.groupBy("profile_date", "transaction_id", "line_item_key").agg(F.sum("w").alias("n"))
+        unique = keys.groupBy("profile_date").agg(F.count("line_item_key").alias("unique_line_items"), F.countDistinct("transaction_id").alias("unique_transactions"))
+        return [unique, _headers(lines, "transaction_id", [F.col("product_id").asc_nulls_last(), F.col("line_item_key").asc()])]
+
+    def finish(self, figures: DataFrame) -> DataFrame:
+        c, total = F.col, F.col("total_line_items")
+        pct = lambda n: percent(c(n), total)
+        return figures.select(
+            "profile_date", "total_line_items", "unique_line_items", "unique_transactions", *self.distinct, *self.counts(),
+            _total("line_total_clean").alias("total_line_item_revenue"), _mean("line_total_clean").alias("avg_line_item_value"),
+            _total("quantity_clean", True).alias("total_quantity_sold"), _mean("quantity_clean").alias("avg_quantity_per_line"),
+            _mean("discount_percent").alias("avg_discount_percent"), _total("discount_amount").alias("total_discount_amount"),
+            _total("loyalty_points_earned", True).alias("total_loyalty_points_earned"),
+            money_total(c("sum_headers"), 4).alias("total_transaction_revenue"),
+            money_total(percent(total, c("unique_transactions")) / 100.0).alias("avg_items_per_transaction"),
+            money_total(pct("clean_records")).alias("clean_pct"), money_total(pct("corrected_records")).alias("corrected_pct"),
+            money_total(pct("refund_line_items")).alias("refund_pct"), money_total(pct("promotion_line_items")).alias("promotion_pct"),
+            money_total(pct("weekend_transactions")).alias("weekend_pct"),
+            money_total(clamped_score([
                 pct("corrected_records") * 0.05, pct("incomplete_records") * 0.1, pct("refund_line_items") * 0.02,
-            ]), 4),
-        })
-    )
+            ]), 4).alias("transaction_intermediate_quality_score"),
+        )
+
+
+def intermediate_profile(lines: DataFrame) -> DataFrame:
+    """AGG3: one row per processing day.  ``lines`` should be a stored table: it is read once per kind of figure."""
+    return IntermediateLayer().finish(IntermediateLayer().figures(lines))
 
 
 def grade_intermediate(profile: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:

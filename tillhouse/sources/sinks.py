@@ -54,6 +54,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """True when there is a file or folder."""
+    folder, fs = _folder(spark, path)
+    return fs.exists(folder)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Leave an empty file."""
+    file, fs = _folder(spark, path)
+    fs.create(file, True).close()
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """The finished versions of a table, ascending."""
     return sorted(int(n[1:]) for n in subfolders(spark, path, finished=True) if re.fullmatch(r"v\d+", n))
