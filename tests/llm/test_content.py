@@ -190,6 +190,18 @@ def test_parts_of_items_are_found(spark):
     assert lost == 0 and tried >= 3000
 
 
+def test_most_matched_counts_a_word_as_often_as_the_item_has_it(monkeypatch):
+    rng = random.Random(3)
+    for _ in range(300):
+        own = np.array([rng.choice([0, 0, 1, 1, 2, 3]) for _ in range(8)] + [0])
+        text = np.array([rng.choice([-1, *range(8)]) for _ in range(rng.randrange(1, 60))])
+        span = rng.randrange(1, 25)
+        monkeypatch.setattr(decontaminate, "WINDOWS", rng.choice([1, 3, 256]))
+        windows = [text[a:a + min(span, len(text))] for a in range(len(text) - min(span, len(text)) + 1)]
+        want = max(sum(min(int((w == k).sum()), int(own[k])) for k in range(8)) for w in windows)
+        assert decontaminate.most_matched(text, own, span) == want
+
+
 def test_random_edits_and_cuts_match_brute_force():
     """2,000 passages with words replaced, put in, left out and cut off at the ends; none that scores 0.5 is lost."""
     import pyarrow as pa

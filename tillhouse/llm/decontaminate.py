@@ -7,8 +7,8 @@ over that of a perfect copy.
 An alignment that reaches the threshold leaves at most so many words of its item unmatched (half at 0.5: a word left
 off at an end costs the 2 it would have given, one replaced inside costs 3) and spans a bounded number of words (twice
 the item's at 0.5).  So of any set of the item's words, all but those stand inside such a span.  That is asked of the
-item's rarest words (as many as may stay unmatched and a third of those that have to match), then of all its words;
-passages that fulfil both are aligned.  Both are necessary conditions: every alignment that reaches the threshold is
+item's rarest words (as many as may stay unmatched and a third of those that have to match), then of all its words,
+each as often as the item has it; passages that fulfil both are aligned.  Both are necessary conditions: every alignment that reaches the threshold is
 found, however its words are edited or cut off and however often it has leaked.  Seeds are single words and not longer
 n-grams, since a copy with a word put in after each of its own scores 0.5 without two adjacent words of the item.
 How often each word occurs, counted over all documents, only decides how many passages are looked at.
@@ -40,6 +40,8 @@ THRESHOLD = 0.5
 BLOCK_WORDS = 1_000_000
 #: Word and item pairs looked at together in a task.
 PAIRS = 4_000_000
+#: Windows of a passage counted together.
+WINDOWS = 256
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 HITS = "doc_id long, item_id long, score double, first_word long, n_words long"
@@ -146,25 +148,44 @@ class Items:
         """``row, item, score, first word, words`` of the best alignment of each item that reaches ``threshold``."""
         counts, ids = word_ids(texts, self.vocabulary)
         row_end = np.cumsum(counts)
-        own = np.zeros(len(self.vocabulary) + 1, bool)  # the last stands for unknown words
+        own = np.zeros(len(self.vocabulary) + 1, np.int64)  # how often the item has each word; the last stands for unknown words
         out = []
         for (row, item), stretches in sorted(self.passages(counts, ids, seeds).items()):
             stop, start, words = int(row_end[row]), int(row_end[row] - counts[row]), self.words[item]
-            own[words] = True
+            np.add.at(own, words, 1)
             best = (0.0, 0, 0)
             for lo, hi in stretches:
                 lo, hi = max(lo, start), min(hi, stop)
                 text = ids[lo:hi]
-                held = np.concatenate([[0], np.cumsum(own[text])])
-                width = min(int(seeds.span[item]), len(text))
-                if (held[width:] - held[:len(held) - width]).max() >= seeds.matched[item]:
+                if most_matched(text, own, int(seeds.span[item])) >= seeds.matched[item]:
                     best = max(best, copy_or_alignment(text, words, lo, max(threshold, best[0])), key=lambda x: x[0])
-            own[words] = False
+            own[words] = 0
             if best[0] >= threshold:
                 out.append((row, item, best[0], best[1] - start, best[2]))
         return out
 
 
+def most_matched(text: np.ndarray, own: np.ndarray, span: int) -> int:
+    """The most words of an item that any ``span`` words of ``text`` can match, a word as often as the item has it."""
+    at = np.flatnonzero(own[text])
+    width = min(span, len(text))
+    word = text[at]
+    order = np.argsort(word, kind="stable")
+    place = np.empty(len(at), np.int64)
+    place[order] = np.arange(len(at))
+    # in a window that holds the occurrence as many places before, this one can match nothing
+    back = place - own[word]
+    same = (back >= 0) & (word[order[np.maximum(back, 0)]] == word)
+    before = np.where(same, at[order[np.maximum(back, 0)]], -1)
+    most = 0
+    for lo in range(0, len(text) - width + 1, WINDOWS):
+        first = np.arange(lo, min(lo + WINDOWS, len(text) - width + 1))[:, None]
+        i, j = np.searchsorted(at, [lo, int(first[-1, 0]) + width])
+        inside = (at[i:j] >= first) & (at[i:j] < first + width) & (before[i:j] < first)
+        most = max(most, int(inside.sum(axis=1).max(initial=0)))
+    return most
+
+
 def least_score(m: int, threshold: float) -> int:
     """The lowest alignment score that reaches ``threshold`` with an item of ``m`` words; 1 at least."""
     least = max(1, int(np.floor(MATCH * m * threshold)) - 1)
