@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.texts import hashes, pieces, slices, strings, whole
+from tillhouse.session import materialise
 
 HASH_BITS = 18
 SAMPLE_ROWS = 20_000
@@ -147,8 +148,11 @@ def ratings(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
-    """Fit on at most ``sample_rows`` rated documents."""
-    sample = ratings(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    """Fit on at most ``sample_rows`` rated documents.
+
+    The sample is stored, so that Spark knows how small it is and takes it to the texts instead of shuffling those.
+    """
+    sample = materialise(ratings(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows), "rated-sample")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
