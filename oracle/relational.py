@@ -168,6 +168,7 @@ o["dim1_calendar"] = "SELECT * FROM calendar"
 for _i, _n in enumerate(("customers", "products", "stores"), 2):
     o[f"dim{_i}_{_n}"] = f"SELECT * FROM dim_{_n}"
     o[f"scd2_{_n}_two_batches"] = f"SELECT * FROM merged_{_n}"
+o["scd2_stored_in_parts"] = "SELECT * FROM merged_customers"
 AMOUNTS = ["net_amount", "gross_amount", "total_cost", "line_profit", "line_profit_margin_pct", "line_total", "discount_amount"]
 o["fct1_fact_sales"] = f"SELECT * REPLACE ({', '.join(f'{m(a, 4)} AS {a}' for a in AMOUNTS)}) FROM fact_sales"
 o["mrt1_revenue_performance"] = "SELECT * FROM revenue_performance"

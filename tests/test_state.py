@@ -159,7 +159,7 @@ def test_whole_run_twice(spark):
 
     run(spark, root, batch(lines, moved), second, enforce_gates=False, grain="YEAR")
     assert {t: lake.read(t).count() for t in counts} == counts
-    assert lake.read("gold_metrics_log").count() == 2 and lake.read("bi/fact_sales").count() == lake.read("fact_sales").count()
+    assert lake.read("gold_metrics_log").count() == 2 and lake.published().read("fact_sales").count() == lake.read("fact_sales").count()
 
 
 def test_gate_stops_the_run(spark):

@@ -2,7 +2,7 @@
 
 Every table lives in a folder of the lake.  Master data is captured by row hash
 and transactions by load time; a table is brought forward by upsert, a dimension
-by a new version.  A run repeated with the same input changes nothing, so a run
+by a commit of the parts in which it changed.  A run repeated with the same input changes nothing, so a run
 that was cut short is simply started again.
 """
 
@@ -19,6 +19,8 @@ from tillhouse.plans import intermediate, marts, profiles, staging
 from tillhouse.plans.profile_state import ProfileState
 from tillhouse.session import materialise
 from tillhouse.sources import sinks
+from tillhouse.sources.dimensions import Dimension
+from tillhouse.sources.manifests import PartTable, Snapshot
 
 MASTER = ("customers", "products", "stores")
 TABLE_OF = {"staging": "stg_transactions", "intermediate": "intmd_transactions"}
@@ -50,7 +52,15 @@ class Lake:
         return sinks.table_exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return sinks.read_table(self.spark, self.path(name))
+        parts = PartTable(self.spark, self.path(name))
+        return parts.read() if parts.exists() else sinks.read_table(self.spark, self.path(name))
+
+    def dimension(self, name: str) -> Dimension:
+        return Dimension(self.spark, self.path(f"dim_{name}"), *marts.DIMENSIONS[name])
+
+    def published(self) -> Snapshot:
+        """The reporting copy."""
+        return Snapshot(self.spark, self.path("bi"))
 
     def replace(self, name: str, df: DataFrame) -> None:
         sinks.overwrite_table(df, self.path(name))
@@ -119,19 +129,15 @@ def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
 
 
 def model(lake: Lake, ctx: RunContext) -> None:
-    """Dimensions by new versions, then the fact of lines not yet in it."""
+    """Dimensions, then the fact of lines not yet in it."""
     for name in MASTER:
-        table, rows = f"dim_{name}", lake.read(f"intmd_{name}")
-        if lake.has(table):
-            lake.replace(table, marts.merge_dimension(name, lake.read(table), rows, ctx))
-        else:
-            lake.replace(table, marts.load_dimension(name, rows, ctx))
+        lake.dimension(name).take(lake.read(f"intmd_{name}"), ctx.now)
     lake.replace("dim_date", marts.dim_date(marts.date_spine(lake.spark, marts.CALENDAR_START, marts.CALENDAR_END), ctx))
     lines = lake.read("intmd_transactions")
     if lake.has("fact_sales"):
         mark = incremental.high_water_mark(lake.read("fact_sales"), "fact_loaded_at")
         lines = incremental.newer_than(lines, "intermediate_processed_at", mark, again=True)
-    fact = marts.fact_sales(lines, *[lake.read(f"dim_{n}") for n in MASTER], ctx)
+    fact = marts.fact_sales(lines, *[lake.dimension(n).current() for n in MASTER], ctx)
     lake.upsert_lines("fact_sales", fact, ["sales_key"], "transaction_date")
 
 
@@ -152,7 +158,7 @@ def judge(lake: Lake, ctx: RunContext) -> tuple[DataFrame, DataFrame]:
     counts = materialise(profiles.dimension_counts(dims), "dimension-counts")
     fact = lake.read("fact_sales")
     lines = lake.read("intmd_transactions").select("line_item_key", "customer_id", "product_id", "store_id")
-    lost = materialise(profiles.orphan_counts(marts.star_lookup(lines, *[dims[f"dim_{n}"] for n in MASTER])), "orphans")
+    lost = materialise(profiles.orphan_counts(marts.star_lookup(lines, *[lake.dimension(n).current() for n in MASTER])), "orphans")
     gate = materialise(profiles.gold_gate(counts, profiles.fact_statistics(fact), lost, ctx), "gold-gate")
     return gate, profiles.gold_metrics(counts, fact, lost, gate, ctx)
 
@@ -165,7 +171,7 @@ def publish_marts(lake: Lake, ctx: RunContext) -> None:
     lake.replace("products_performance", marts.products_performance(fact, lake.read("dim_products"), ctx))
     lake.replace("customer_metrics", marts.customer_metrics(fact, lake.read("dim_customers"), ctx))
     names = [*[f"dim_{n}" for n in MASTER], "dim_date", "fact_sales", "gold_metrics_log"]
-    sinks.publish_snapshot(lake.spark, {n: lake.read(n) for n in names}, lake.path("bi"), ctx.now)
+    lake.published().publish({n: lake.path(n) for n in names}, ctx.now)
 
 
 def run(

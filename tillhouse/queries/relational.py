@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,10 +12,11 @@ from tillhouse.functions import text
 from tillhouse.functions.measures import cents, money, money_total
 from tillhouse.operators import dedup, incremental, ranking, scd, streams
 from tillhouse.plans import intermediate, marts, profiles, reports
-from tillhouse.plans.inputs import Warehouse
+from tillhouse.plans.inputs import FIRST_RUN, Warehouse
 from tillhouse.queries.registry import query
-from tillhouse.session import materialise
+from tillhouse.session import materialise, shared_folder
 from tillhouse.sources import standin
+from tillhouse.sources.dimensions import Dimension
 from tillhouse.sources.files import table
 
 c = F.col
@@ -572,8 +574,6 @@ def inc4(spark, sf):
 @query("scd1_initial_load")
 def scd1(spark, sf):
     first, _ = Warehouse(spark, sf).dim_batches("stores")
-    from tillhouse.plans.inputs import FIRST_RUN
-
     return marts.load_dimension("stores", first, FIRST_RUN)
 
 
@@ -592,6 +592,15 @@ def scd2_stores(spark, sf):
     return Warehouse(spark, sf).merged_dim("stores")
 
 
+@query("scd2_stored_in_parts")
+def scd2_stored(spark, sf):
+    """Both batches of the customers taken by the stored dimension, with one bucket per 500 of them."""
+    dim = Dimension(spark, f"{shared_folder(spark)}/dimension-{uuid.uuid4().hex}", *marts.DIMENSIONS["customers"], bucket_rows=500)
+    for batch, ctx in zip(Warehouse(spark, sf).dim_batches("customers"), (FIRST_RUN, CTX)):
+        dim.take(batch, ctx.now)
+    return dim.versions()
+
+
 @query("scd3_current_view")
 def scd3(spark, sf):
     return scd.current(Warehouse(spark, sf).merged_dim("products")).select("product_id", "product_key", "supplier", "valid_start_date")

@@ -1,4 +1,4 @@
-"""Table writers (SNK1-SNK7).
+"""Table writers (SNK1-SNK5, SNK7; SNK6 is in ``manifests``).
 
 A rebuilt table is a folder of versions.  A version counts once Spark has put its
 ``_SUCCESS`` marker, the last step of a write; readers take the newest such one
@@ -33,7 +33,7 @@ def gathered(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition))
 
 
-def _folder(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
     """A Hadoop path and its file system."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -41,42 +41,42 @@ def _folder(spark: SparkSession, path: str):
 
 def subfolders(spark: SparkSession, path: str, finished: bool = False) -> list[str]:
     """Names of the folders under ``path``; ``finished``: only those a write has committed."""
-    folder, fs = _folder(spark, path)
+    folder, fs = folder_of(spark, path)
     if not fs.exists(folder):
         return []
     names = [entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory()]
-    return [n for n in names if not finished or fs.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0])]
+    return [n for n in names if not finished or fs.exists(folder_of(spark, f"{path}/{n}/_SUCCESS")[0])]
 
 
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there."""
-    folder, fs = _folder(spark, path)
+    folder, fs = folder_of(spark, path)
     fs.delete(folder, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """True when there is a file or folder."""
-    folder, fs = _folder(spark, path)
+    folder, fs = folder_of(spark, path)
     return fs.exists(folder)
 
 
 def touch(spark: SparkSession, path: str) -> None:
     """Leave an empty file."""
-    file, fs = _folder(spark, path)
+    file, fs = folder_of(spark, path)
     fs.create(file, True).close()
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def finished_versions(spark: SparkSession, path: str) -> list[int]:
     """The finished versions of a table, ascending."""
     return sorted(int(n[1:]) for n in subfolders(spark, path, finished=True) if re.fullmatch(r"v\d+", n))
 
 
 def current_path(spark: SparkSession, path: str) -> str | None:
     """Where the table's content is now; None only if there is none (other errors are raised)."""
-    versions = _versions(spark, path)
+    versions = finished_versions(spark, path)
     if versions:
         return f"{path}/v{versions[-1]:06d}"
-    folder, fs = _folder(spark, path)
+    folder, fs = folder_of(spark, path)
     if not fs.exists(folder):
         return None
     names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
@@ -206,12 +206,12 @@ def _drop_partition(spark: SparkSession, path: str, partition: str, value) -> No
 def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> None:
     """SNK2: full rebuild as a new version, safe even when ``df`` reads the table itself."""
     spark = df.sparkSession
-    before = _versions(spark, path)
+    before = finished_versions(spark, path)
     version = f"v{(before[-1] if before else 0) + 1:06d}"
     writer = gathered(df, partition).write.partitionBy(partition) if partition else df.write
     writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{version}")
     keep = {version, f"v{before[-1]:06d}"} if before else {version}
-    folder, fs = _folder(spark, path)
+    folder, fs = folder_of(spark, path)
     for entry in fs.listStatus(folder):
         if entry.getPath().getName() not in keep:
             fs.delete(entry.getPath(), True)
@@ -242,15 +242,6 @@ def promote_stream_file(spark: SparkSession, streamed: str, batch_area: str, as_
     return True
 
 
-def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], area: str, at: Column) -> DataFrame:
-    """SNK6: copy tables to the reporting area and record the sync."""
-    for name, df in tables.items():
-        overwrite_table(df, f"{area}/{name}")
-    record = spark.range(1).select(at.alias("last_sync_time"), F.lit("success").alias("status"))
-    overwrite_table(record, f"{area}/_sync_metadata")
-    return read_table(spark, f"{area}/_sync_metadata")
-
-
 def append_log(spark: SparkSession, path: str, rows: DataFrame, id_col: str) -> None:
     """SNK7: append log rows, one per table or run, under the next ids."""
     last = 0
