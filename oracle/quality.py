@@ -82,29 +82,33 @@ _q = count_of("lineitem", "l_quantity NOT BETWEEN 1 AND 45")
 o["dq13_severity_and_thresholds"] = rows(row("strict", *_q), row("lenient", *_q, error=10**9), row("silent", *_q, severity="warn", warn=10**9))
 o["dq14_profit_identity"] = """
 SELECT sales_key, product_key, 'Profit calculation mismatch!' AS error_message FROM fact_sales
-WHERE total_cost > 0 AND line_total <> 0 AND NOT is_refund AND ABS(ROUND(line_profit, 1) - (line_total - total_cost)) > 0.02::DOUBLE"""
+WHERE total_cost > 0 AND line_total <> 0 AND NOT is_refund AND ABS(line_profit - (line_total - total_cost)) > 0.02::DOUBLE"""
 o["dq15_positive_sales"] = """
 SELECT * FROM (SELECT sales_key, quantity, unit_price, CASE WHEN line_total <= 0 THEN 'Line total should be positive' WHEN quantity <= 0 THEN 'Quantity should be positive'
   WHEN unit_price <= 0 THEN 'Unit price should be positive' END AS error_reason FROM fact_sales WHERE NOT is_refund) WHERE error_reason IS NOT NULL"""
 o["dq16_calendar_gaps"] = """
-SELECT CAST(DATE '1995-01-01' + CAST(n AS INTEGER) AS DATE) AS expected_date, 'MISSING DATE!' AS error_message FROM (SELECT UNNEST(generate_series(0, 2403)) AS n)
-WHERE DATE '1995-01-01' + CAST(n AS INTEGER) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT')"""
+SELECT CAST(DATE '1995-01-01' + CAST(n AS INTEGER) AS DATE) AS expected_date, 'MISSING DATE!' AS error_message FROM (SELECT UNNEST(generate_series(
+  LEAST(0, (SELECT date_diff('day', DATE '1995-01-01', MIN(o_orderdate)) FROM orders)), GREATEST(2403, (SELECT date_diff('day', DATE '1995-01-01', MAX(o_orderdate)) FROM orders)))) AS n)
+WHERE DATE '1995-01-01' + CAST(n AS INTEGER) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate IS NOT NULL)"""
 o["dq17_duplicate_lines"] = "SELECT transaction_id_clean, product_id, COUNT(*) AS duplicate_count FROM stg_transactions GROUP BY ALL HAVING COUNT(*) > 1"
-_d = m("ABS(subtotal + ROUND(tax_amount, 1) - total_amount)")
+_d = m("ABS(subtotal + tax_amount - total_amount)")
 o["dq18_transaction_math"] = f"SELECT transaction_id_clean, total_amount, {_d} AS difference FROM stg_transactions WHERE {_d} > 0.01::DOUBLE"
 o["dq19_refund_reason"] = """
-SELECT transaction_id_clean, payment_status, CASE WHEN quantity > 0 THEN refund_reason END AS refund_reason FROM stg_transactions
-WHERE payment_status = 'REFUNDED' AND (quantity <= 0 OR COALESCE(TRIM(refund_reason), '') = '')"""
+SELECT transaction_id_clean, payment_status, refund_reason FROM stg_transactions
+WHERE payment_status = 'REFUNDED' AND COALESCE(TRIM(refund_reason), '') = ''"""
 o["dq20_payment_share_band"] = """
 SELECT o_orderpriority AS payment_method FROM orders GROUP BY 1 HAVING COUNT(*) * 100.0::DOUBLE / (SELECT COUNT(*) FROM orders) NOT BETWEEN 20 AND 80"""
 o["dq21_composite_key"] = rows(
     row("unique(transaction_id, product_id)", *repeated("intmd_transactions", "transaction_id, product_id")),
     row("unique(line_item_key)", *repeated("intmd_transactions", "line_item_key")),
 )
-o["dq22_flags_agree"] = "SELECT transaction_id, product_id, 'is_weekend' AS flags FROM intmd_transactions WHERE dayname(transaction_date) = 'Friday'"
+o["dq22_flags_agree"] = """
+SELECT * FROM (SELECT transaction_id, product_id, CONCAT_WS(',', CASE WHEN has_promotion <> (COALESCE(TRIM(promotion_code), '') <> '') THEN 'has_promotion' END,
+  CASE WHEN is_refund <> (payment_status = 'REFUNDED' OR refund_reason IS NOT NULL) THEN 'is_refund' END,
+  CASE WHEN is_weekend <> (dayofweek(transaction_date) IN (0, 6)) THEN 'is_weekend' END) AS flags FROM intmd_transactions) WHERE flags <> ''"""
 o["dq23_discount_recomputed"] = """
-SELECT transaction_id_raw, product_id, FLOOR(discount_amount) AS discount_amount FROM stg_transactions
-WHERE ABS(FLOOR(discount_amount) - quantity * unit_price * (discount_percent / 100)) > 0.01::DOUBLE"""
+SELECT transaction_id_raw, product_id, discount_amount FROM stg_transactions
+WHERE ABS(discount_amount - quantity * unit_price * (discount_percent / 100)) > 0.01::DOUBLE"""
 o["dq23_age_recomputed"] = f"""
 SELECT customer_id, age, CAST(date_sub('year', date_of_birth, {AS_OF}) AS INTEGER) AS completed_years FROM stg_customers WHERE age <> date_sub('year', date_of_birth, {AS_OF})"""
 _mm = L.margin_pct("selling_price", "cost_price")
@@ -112,14 +116,19 @@ o["dq23_margin_recomputed"] = f"""
 SELECT product_id, profit_margin_pct, {_mm} AS recomputed FROM stg_products WHERE ABS(profit_margin_pct - ({_mm})) > 0"""
 o["dq23_years_recomputed"] = """
 SELECT store_id, years_since_opening, days_since_opening FROM stg_stores WHERE ABS(years_since_opening - days_since_opening / 365.0::DOUBLE) > 0.4::DOUBLE"""
-o["dq23_line_total_recomputed"] = "SELECT line_item_key FROM intmd_transactions WHERE ABS(line_total - line_total_clean) > 0.02::DOUBLE"
+o["dq23_line_total_recomputed"] = """
+SELECT line_item_key FROM intmd_transactions WHERE ABS(line_total_clean - CASE WHEN line_total < 0 AND NOT is_refund THEN 0
+  WHEN line_total = 0 AND quantity > 0 AND unit_price > 0 THEN quantity * unit_price * (1 - discount_percent / 100) ELSE line_total END) > 0.02::DOUBLE"""
 o["dq24_positive_refunds"] = "SELECT line_item_key, line_total_clean FROM intmd_transactions WHERE is_refund AND line_total_clean > 0"
-o["dq25_email_unique"] = "SELECT SPLIT_PART(email, '@', 2) AS email, COUNT(*) AS n FROM stg_customers WHERE email IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"
-o["dq25_store_name_unique_in_city"] = "SELECT store_type AS store_name, city, COUNT(*) AS n FROM stg_stores GROUP BY ALL HAVING COUNT(*) > 1"
+o["dq25_email_unique"] = "SELECT email, COUNT(*) AS n FROM stg_customers WHERE email IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"
+o["dq25_store_name_unique_in_city"] = "SELECT store_name, city, COUNT(*) AS n FROM stg_stores GROUP BY ALL HAVING COUNT(*) > 1"
 o["dq26_labels_agree"] = f"""
 SELECT customer_id AS id, 'state' AS label, state AS stored, state_name_from_zip AS expected FROM intmd_customers WHERE state <> state_name_from_zip
 UNION ALL SELECT product_id, 'weight_category', weight_category, {L.weight_incl('weight')} FROM stg_products WHERE weight_category <> {L.weight_incl('weight')}
-UNION ALL SELECT store_id, 'region', 'South', 'Other' FROM intmd_stores WHERE region = 'Other'"""
+UNION ALL SELECT customer_id, 'quality_tier', quality_tier, t FROM (SELECT *, CASE WHEN quality_issues_count > 2 THEN 'POOR'
+  WHEN quality_issues_count > 0 THEN 'ACCEPTABLE' ELSE 'CLEAN' END AS t FROM intmd_customers) WHERE quality_tier <> t
+UNION ALL SELECT store_id, 'region', region, {L.region('state')} FROM intmd_stores WHERE region <> {L.region('state')}
+UNION ALL SELECT store_id, 'store_category', store_category, {L.store_category('store_type')} FROM intmd_stores WHERE store_category <> {L.store_category('store_type')}"""
 o["dq27_domain"] = f"""
 SELECT product_id AS id, 'cost_exceeds_price' AS violation FROM stg_products WHERE cost_price > selling_price
 UNION ALL SELECT product_id, 'negative_stock' FROM stg_products WHERE stock_quantity_raw < 0

@@ -47,7 +47,7 @@ SELECT customer_id, _row_hash FROM stg_customers s WHERE NOT EXISTS (SELECT 1 FR
 o["joi7_anti_calendar_gaps"] = """
 WITH span AS (SELECT MIN(o_orderdate) AS a, MAX(o_orderdate) AS b FROM orders)
 SELECT CAST(d AS DATE) AS expected_date FROM span, LATERAL (SELECT UNNEST(generate_series(a, b, INTERVAL 1 DAY)) AS d)
-WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING COUNT(*) >= 3)"""
+WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)"""
 o["joi8_new_or_changed"] = "SELECT product_id, supplier FROM changed_products"
 o["joi9_rows_to_close"] = f"""
 SELECT product_id, {L.key('product_id', NOW)} AS product_key, {NOW} AS valid_end_date, FALSE AS is_current
@@ -205,5 +205,5 @@ UNION ALL SELECT {{cols}} FROM batch"""
 o["inc3_upsert_by_key"] = UPSERT.format(cols="transaction_id_clean, product_id, transaction_id_raw, staging_processed_at, quantity")
 o["inc4_profile_upsert"] = f"""
 SELECT profile_date, total_line_items, CASE WHEN profile_date < {CUT} THEN 0 ELSE unique_transactions END AS unique_transactions FROM staging_profile"""
-o["scd1_initial_load"] = version("first_stores", "store_id", "store_key", DIMS["stores"][2], FIRST)
+o["scd1_initial_load"] = version("once_stores", "store_id", "store_key", DIMS["stores"][2], FIRST)
 o["scd3_current_view"] = "SELECT product_id, product_key, supplier, valid_start_date FROM merged_products WHERE is_current"

@@ -50,7 +50,7 @@ o["src2_scan_daily_files"] = "SELECT transaction_id, product_id, quantity, data_
 o["src4_attach_file_metadata"] = "SELECT c_custkey, c_name, 'customer' AS filename FROM customer"
 o["src5_attach_metadata_by_key"] = """
 SELECT transaction_id, product_id, CAST(f.day + 1 AS DATE) AS _loaded_at_date FROM raw_transactions
-JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderstatus = 'F') f ON regexp_extract(transaction_id, 'TXN(\\d{8})', 1) = strftime(f.day, '%Y%m%d')"""
+JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders) f ON regexp_extract(transaction_id, 'TXN(\\d{8})', 1) = strftime(f.day, '%Y%m%d')"""
 o["src6_scan_seed_csv"] = "SELECT * FROM zip_lookup"
 o["src8_flatten_items"] = """
 SELECT h.* EXCLUDE (k, store_id, datetime), i.product_id, i.product_name, i.category, COALESCE(i.quantity, 0) AS quantity, COALESCE(i.unit_price, 0.0::DOUBLE) AS unit_price,

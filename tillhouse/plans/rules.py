@@ -1,4 +1,7 @@
-"""Checks that return the failing rows (DQ14-DQ27)."""
+"""Checks that return the failing rows (DQ14-DQ27).
+
+A rule states what must hold in its own terms; it does not call the function that built the column it checks.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.context import DEFAULT, RunContext
-from tillhouse.functions import buckets, dates, flags, measures, text
+from tillhouse.functions import buckets, measures, text
 from tillhouse.operators.quality import duplicate_keys
 from tillhouse.plans.marts import date_series
 from tillhouse.plans.reports import payment_shares
@@ -65,9 +68,9 @@ def unusual_payment_shares(lines: DataFrame, low: float = 1.0, high: float = 80.
 def flag_disagreements(lines: DataFrame) -> DataFrame:
     """DQ22: a flag does not follow from its source column."""
     tests = {
-        "has_promotion": c("has_promotion") != measures.has_promotion(c("promotion_code")),
+        "has_promotion": c("has_promotion") != F.coalesce(F.length(F.trim("promotion_code")) > 0, F.lit(False)),
         "is_refund": c("is_refund") != ((c("payment_status") == "REFUNDED") | c("refund_reason").isNotNull()),
-        "is_weekend": c("is_weekend") != dates.weekday(c("transaction_date")).isin(0, 6),
+        "is_weekend": c("is_weekend") != F.date_format("transaction_date", "E").isin("Sat", "Sun"),
     }
     held = {k: v for k, v in tests.items() if k in lines.columns}
     which = F.array_compact(F.array(*[F.when(v, k) for k, v in held.items()]))
@@ -77,21 +80,22 @@ def flag_disagreements(lines: DataFrame) -> DataFrame:
 
 
 def discount_mismatch(lines: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """DQ23: discount from the rounded price against the stored one."""
-    again = measures.discount_amount(c("quantity"), c("unit_price"), c("discount_percent"))
+    """DQ23: the stored discount is not that share of the full price."""
+    again = c("quantity") * c("unit_price") * c("discount_percent") / 100
     return lines.where(F.abs(c("discount_amount") - again) > tolerance).select("transaction_id_raw", "product_id", "discount_amount")
 
 
 def age_mismatch(customers: DataFrame, ctx: RunContext = DEFAULT) -> DataFrame:
     """DQ23: the stored age and the age in completed years differ."""
-    birthday_passed = F.date_format("date_of_birth", "MMdd") <= F.date_format(ctx.today, "MMdd")
-    completed = dates.years_between(c("date_of_birth"), ctx.today) - F.when(birthday_passed, 0).otherwise(1)
+    day = lambda d: F.year(d) * 10000 + F.month(d) * 100 + F.day(d)
+    completed = F.floor((day(ctx.today) - day(c("date_of_birth"))) / 10000).cast("int")
     return customers.where(c("age") != completed).select("customer_id", "age", completed.alias("completed_years"))
 
 
 def margin_mismatch(products: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """DQ23: the margin from the rounded prices differs from the stored one."""
-    again = measures.profit_margin_pct(c("selling_price"), c("cost_price"))
+    priced = (c("selling_price") > 0) & (c("cost_price") >= 0)
+    again = F.when(priced, measures.money(100 - c("cost_price") / F.nullif(c("selling_price"), F.lit(0.0)) * 100))
     return products.where(F.abs(c("profit_margin_pct") - again) > tolerance).select("product_id", "profit_margin_pct", again.alias("recomputed"))
 
 
@@ -102,9 +106,20 @@ def years_mismatch(stores: DataFrame, tolerance: float = 0.5) -> DataFrame:
 
 
 def clean_total_mismatch(lines: DataFrame, tolerance: float = 0.02) -> DataFrame:
-    """DQ23: a cleaned sale total that is neither the raw one nor a correction of it."""
-    again = measures.line_total_clean(c("line_total"), c("quantity"), c("unit_price"), c("discount_percent"), c("is_refund"))
-    return lines.where(F.abs(c("line_total_clean") - again) > tolerance).select("line_item_key", "line_total", "line_total_clean")
+    """DQ23: a cleaned total that is neither the raw one nor a correction of it.
+
+    Wrong are a sale's loss that is not put to 0, a zero total of priced goods that is not their price less the
+    discount, and any other total that is not the raw one.
+    """
+    total, clean, priced = c("line_total"), c("line_total_clean"), (c("quantity") > 0) & (c("unit_price") > 0)
+    full = c("quantity") * c("unit_price")
+    loss = (total < 0) & ~c("is_refund")
+    wrong = (
+        (loss & (clean != 0))
+        | ((total == 0) & priced & (F.abs(clean + full * c("discount_percent") / 100 - full) > tolerance))
+        | (~loss & ~((total == 0) & priced) & (F.abs(clean - total) > tolerance))
+    )
+    return lines.where(wrong).select("line_item_key", "line_total", "line_total_clean")
 
 
 def positive_refunds(lines: DataFrame) -> DataFrame:
@@ -130,10 +145,16 @@ def label_disagreements(customers: DataFrame, products: DataFrame, stores: DataF
         )
 
     zip_state = F.coalesce("state_name_from_zip", c("state"))
+    issues, kg = c("quality_issues_count"), c("weight")
+    by_issues = F.when(issues > 2, "POOR").when(issues > 0, "ACCEPTABLE").otherwise("CLEAN")
+    by_weight = (
+        F.when(kg.isNull(), "Unknown").when(kg > 25, "Very Heavy (25+ kg)").when(kg > 5, "Heavy (5-25 kg)")
+        .when(kg >= 1, "Medium (1-5 kg)").otherwise("Light (< 1 kg)")
+    )
     return (
         failing(customers, "customer_id", "state", zip_state)
-        .unionByName(failing(customers, "customer_id", "quality_tier", flags.quality_tier(c("quality_issues_count"))))
-        .unionByName(failing(products, "product_id", "weight_category", buckets.weight_category_inclusive(c("weight"))))
+        .unionByName(failing(customers, "customer_id", "quality_tier", by_issues))
+        .unionByName(failing(products, "product_id", "weight_category", by_weight))
         .unionByName(failing(stores, "store_id", "region", buckets.region(c("state"))))
         .unionByName(failing(stores, "store_id", "store_category", buckets.store_category(c("store_type"))))
     )

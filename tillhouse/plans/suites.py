@@ -337,6 +337,7 @@ def _revenue_performance() -> list[Check]:
         *_not_null("date", "year", "quarter", "month", "month_name", "day_name", "day_type", "revenue", "cost", "profit", "transactions",
                    "customers", "units_sold", "avg_order_value", "revenue_7day_avg", "revenue_30day_avg", "revenue_mtd", "revenue_ytd",
                    "is_today", "is_last_7_days", "is_last_30_days"),
+        *[accepted_values(c, [True, False]) for c in ("is_today", "is_last_7_days", "is_last_30_days")],
         accepted_range("quarter", 1, 4), accepted_range("month", 1, 12), accepted_values("day_type", ["Weekend", "Weekday"]),
         expression("revenue", ">= 0"), expression("cost", ">= 0"), accepted_range("profit_margin_pct", 0, 100).warn(),
         *[expression(c, "> 0") for c in ("transactions", "customers", "units_sold")], expression("revenue_ytd", ">= revenue_mtd"),

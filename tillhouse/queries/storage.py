@@ -54,9 +54,9 @@ def src4(spark, sf):
 
 @query("src5_attach_metadata_by_key")
 def src5(spark, sf):
-    """Days with at least one finished order stand in for days with a file."""
+    """Days with an order stand in for days with a file."""
     day = c("o_orderdate").cast("date")
-    listing = table(spark, sf, "orders").where("o_orderstatus = 'F'").groupBy(F.date_format(day, "yyyyMMdd").alias("date_key")).agg(
+    listing = table(spark, sf, "orders").groupBy(F.date_format(day, "yyyyMMdd").alias("date_key")).agg(
         F.count("*").alias("size"), F.date_add(F.max(day), 1).alias("modified_date")
     )
     out = files.attach_metadata_by_key(standin.raw_transactions(spark, sf), listing)
