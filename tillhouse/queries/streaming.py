@@ -13,6 +13,7 @@ from tillhouse.session import shared_folder
 from tillhouse.sources import standin
 from tillhouse.sources.sinks import promote_stream_file
 from tillhouse.streaming import live
+from tillhouse.streaming.compaction import DailyFiles
 
 c = F.col
 
@@ -76,7 +77,9 @@ def snk3(spark, sf):
     area = _area(spark)
     stream = live.typed_lines(_messages(spark, sf, area))
     live.write_daily_files(stream, f"{area}/days", f"{area}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{area}/days").select("transaction_id", "product_id", "date", "total_amount")
+    files = DailyFiles(spark, f"{area}/days", f"{area}/packed", stream.schema)
+    files.pack()
+    return files.read().select("transaction_id", "product_id", "date", "total_amount")
 
 
 @query("str4_distinct_lines")

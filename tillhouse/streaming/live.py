@@ -119,7 +119,8 @@ def live_figures(messages: DataFrame, stores: DataFrame, width: str = "1 day", l
 def write_daily_files(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """SNK3/STR3: append typed lines under each row's own day.
 
-    Offsets and the file log give each line exactly one place, also after a crash.
+    Offsets and the file log give each line exactly one place, also after a crash.  ``compaction.DailyFiles`` packs
+    the small files of closed days.
     """
     writer = lines.withColumn("file_day", F.col("date")).writeStream.format("parquet").partitionBy("file_day")
     return _start(writer.option("path", path), checkpoint, available_now)
