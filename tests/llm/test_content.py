@@ -167,6 +167,25 @@ def test_url_rules_and_propagation(spark):
     assert url_filter.judge_pages(docs, [], []).where("verdict = 'block'").count() == 0
 
 
+def test_propagation_goes_on_until_ranks_settle(spark):
+    """Long chains and a ring, against the exact solution of the linear equations."""
+    links = [(f"h{k}", f"h{k + 1}", 1) for k in range(45)] + [("r0", "r1", 2), ("r1", "r2", 1), ("r2", "r0", 1), ("r0", "h0", 1)]
+    hosts = sorted({h for a, b, _ in links for h in (a, b)})
+    trust, distrust = {"h0": 1.0, "r1": 0.5}, {"h45": 1.0, "r2": 0.25}
+    seeds = spark.createDataFrame([(h, trust.get(h, 0.0), distrust.get(h, 0.0)) for h in hosts], "host string, trust double, distrust double")
+    edges = spark.createDataFrame(links, "src string, dst string, links long")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in url_filter.propagate(seeds, edges).collect()}
+    place = {h: i for i, h in enumerate(hosts)}
+    for side, seed, arcs in ((0, trust, links), (1, distrust, [(b, a, n) for a, b, n in links])):
+        flow = np.zeros((len(hosts), len(hosts)))
+        for a, b, n in arcs:
+            flow[place[b], place[a]] = n / sum(m for x, _, m in arcs if x == a)
+        exact = np.linalg.solve(np.eye(len(hosts)) - 0.85 * flow, [seed.get(h, 0.0) for h in hosts])
+        assert max(abs(got.get(h, (0.0, 0.0))[side] - exact[place[h]]) for h in hosts) < 5e-6
+    assert got["h40"][0] > 0 and got["h1"][1] > 0  # more than twenty links away
+    assert url_filter.propagate(seeds.where("false"), edges).collect() == []
+
+
 def test_classifier_on_held_out_documents(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rated = ordinal.ratings(labels)

@@ -4,8 +4,9 @@ Native DataFrame work only.  A host's *trust seed* is the share of its pages tha
 seed* the share that rules block.  Trust is personalised PageRank from the first over links from host to
 host; distrust is personalised PageRank from the second over the same links reversed, since a host is
 suspect for whom it links to.  Without the factor (1 - damping), which is the same for all hosts, both
-start at the seed itself, so that a host without links keeps its own share.  A host is blocked if its
-distrust reaches ``threshold`` and is above its trust.
+start at the seed itself, so that a host without links keeps its own share.  Rounds go on until no rank
+changes by more than ``TOLERANCE``; a round passes on at most ``DAMPING`` of all rank that moved before, so they end.
+A host is blocked if its distrust reaches ``threshold`` and is above its trust.
 
 Every page gives one row.  A null url, or one without ``://``, has empty host and path, fits no rule and
 takes the verdict of the empty host.  Repeated pages count each.  Null html has no links; links to the
@@ -21,7 +22,9 @@ from tillhouse.session import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
-DAMPING, ROUNDS, THRESHOLD = 0.85, 20, 0.5
+DAMPING, THRESHOLD = 0.85, 0.5
+#: Ranks are settled once no host's rank changed by more than this between two cuts.
+TOLERANCE = 1e-6
 #: Rounds between two tables that cut the lineage.
 CUT_EVERY = 5
 
@@ -49,7 +52,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return pairs.where("dst <> '' and src <> '' and dst <> src").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``host, trust, distrust`` from seeds (host, trust, distrust) and edges (src, dst, links)."""
     names = F.col("host")
     start = seeds.select(names, F.explode(F.create_map(F.lit("trust"), F.col("trust"), F.lit("distrust"), F.col("distrust"))).alias("kind", "seed")).where("seed > 0")
@@ -61,12 +64,16 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     out = steps.groupBy("kind", "host").agg(F.sum("links").alias("all_links"))
     steps = materialise(steps.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("links") / F.col("all_links")).alias("share")), "url-steps")
     rank = start.withColumnRenamed("seed", "rank")
-    if not steps.isEmpty():  # without links the seeds are the ranks already
-        for done in range(1, rounds + 1):
+    settled = steps.isEmpty()  # without links the seeds are the ranks already
+    while not settled:
+        before = rank
+        for _ in range(CUT_EVERY):
             moved = rank.join(steps, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.lit(damping) * F.col("rank") * F.col("share")).alias("rank"))
             rank = start.withColumnRenamed("seed", "rank").unionByName(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-            if done % CUT_EVERY == 0:
-                rank = materialise(rank, f"url-rank{done}")
+        rank = materialise(rank, "url-rank")
+        both = rank.unionByName(before.withColumn("rank", -F.col("rank"))).groupBy("kind", "host").agg(F.abs(F.sum("rank")).alias("change"))
+        largest = both.agg(F.max("change").alias("m")).first()["m"]
+        settled = largest is None or largest <= tolerance
     return rank.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")])
 
 
