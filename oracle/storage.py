@@ -70,3 +70,8 @@ UNION ALL SELECT 2, 'part', COUNT(*) FROM part UNION ALL SELECT 3, 'orders', COU
 o["drf1_rebuild_on_drift"] = f"""
 SELECT 1::BIGINT AS log_id, 'stg_customers' AS model_name, {NOW} AS detected_at, 'full_refresh' AS reconciliation_method, 'completed' AS reconciliation_status,
   'batch-20011231' AS run_id, {NOW} AS created_at, COUNT(*) AS rows, TRUE AS first_run, FALSE AS second_run FROM customer"""
+o["drf1_drift_by_kind"] = """
+SELECT k.model_name, COUNT(*) AS rows, CAST(SUM(c_custkey) AS BIGINT) AS keys, CASE WHEN k.model_name = 'added' THEN 0 ELSE COUNT(c_mktsegment) END AS segments,
+  COUNT(c_acctbal) AS balances, k.log_id, k.reconciliation_method
+FROM customer, (VALUES ('added', 1::BIGINT, 'schema_version'), ('widened', 2, 'schema_version'), ('incompatible', 3, 'full_refresh'), ('removed', 4, 'full_refresh'),
+  ('same', NULL, NULL)) k(model_name, log_id, reconciliation_method) GROUP BY k.model_name, k.log_id, k.reconciliation_method"""

@@ -2,7 +2,8 @@
 
 Every table lives in a folder of the lake.  Master data is captured by row hash
 and transactions by load time; a table is brought forward by upsert, a dimension
-by a commit of the parts in which it changed.  A run repeated with the same input changes nothing, so a run
+by a commit of the parts in which it changed.  Line tables whose schema has
+drifted are brought in line first, by a schema version or by building them anew.  A run repeated with the same input changes nothing, so a run
 that was cut short is simply started again.
 """
 
@@ -14,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.context import RunContext
-from tillhouse.operators import incremental, scd
+from tillhouse.operators import drift, incremental, scd
 from tillhouse.plans import intermediate, marts, profiles, staging
 from tillhouse.plans.profile_state import ProfileState
 from tillhouse.session import materialise
-from tillhouse.sources import sinks
+from tillhouse.sources import schemas, sinks
 from tillhouse.sources.dimensions import Dimension
 from tillhouse.sources.manifests import PartTable, Snapshot
 
@@ -79,6 +80,25 @@ class Lake:
         """What is kept of a layer's line table to profile it."""
         return ProfileState(self.spark, self.path(f"{layer.name}_profile_state"), layer, self.path(TABLE_OF[layer.name]))
 
+    def drop(self, name: str, layer: profiles.Layer) -> None:
+        """Forget a line table and what is kept of it, so that the next upsert builds it anew."""
+        for path in (self.path(name), self.path(f"{layer.name}_profile_state")):
+            sinks.delete(self.spark, path)
+
+    def in_line(self, name: str, rows: DataFrame, ctx: RunContext, layer: profiles.Layer) -> bool:
+        """DRF1: the stored line table takes rows of this schema; False if it had to be dropped for it."""
+        if not self.has(name):
+            return True
+        log = self.path("schema_change_log")
+        method = drift.reconcile(
+            self.spark, self.path(name), name, rows.schema, lambda: self.drop(name, layer), log, ctx.now, ctx.batch_id, "part"
+        )
+        return method != "full_refresh"
+
+    def like_stored(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows with the stored types where those are wider."""
+        return drift.conformed(rows, self.read(name).schema) if self.has(name) else rows
+
     def upsert(self, name: str, batch: DataFrame, keys: list[str]) -> None:
         """Master data: small against the lines, kept as one unpartitioned table."""
         self.replace(name, sinks.upserted(self.read(name), batch, keys) if self.has(name) else batch)
@@ -106,12 +126,14 @@ def stage(lake: Lake, batch: Batch, ctx: RunContext) -> None:
         lake.upsert(table, scd.one_per_id(rows, key), [key])
         lake.upsert(captured, prints, [key])  # last, so that a run cut short captures the same rows again
 
-    lines, table = batch.transactions, "stg_transactions"
-    if lake.has(table):
+    table, layer = "stg_transactions", profiles.StagingLayer()
+    lines = drift.guard(batch.transactions, schemas.struct(schemas.RAW_TRANSACTIONS), "raw_transactions")
+    names = staging.store_name_of_lines(lines)
+    if lake.in_line(table, staging.stage_transactions(lines, names, ctx), ctx, layer) and lake.has(table):
         mark = incremental.high_water_mark(lake.read(table), "raw_loaded_at")
         lines = incremental.newer_than(lines, "data_created_modified", mark, again=True)
-    staged = staging.stage_transactions(lines, staging.store_name_of_lines(batch.transactions), ctx)
-    lake.upsert_lines(table, staged, LINE_KEY, "raw_loaded_at", profiles.StagingLayer())
+    staged = lake.like_stored(table, staging.stage_transactions(lines, names, ctx))
+    lake.upsert_lines(table, staged, LINE_KEY, "raw_loaded_at", layer)
 
 
 def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
@@ -119,13 +141,13 @@ def refine(lake: Lake, batch: Batch, ctx: RunContext) -> None:
     lake.replace("intmd_customers", intermediate.refine_customers(lake.read("stg_customers"), batch.zips, ctx))
     lake.replace("intmd_products", intermediate.refine_products(lake.read("stg_products"), ctx))
     lake.replace("intmd_stores", intermediate.refine_stores(lake.read("stg_stores"), ctx))
-    table, staged = "intmd_transactions", lake.read("stg_transactions")
-    if lake.has(table):
+    table, staged, layer = "intmd_transactions", lake.read("stg_transactions"), profiles.IntermediateLayer()
+    if lake.in_line(table, intermediate.refine_transactions(staged, ctx), ctx, layer) and lake.has(table):
         # The latest copy of a line counts, so lines staged since are enough.
         mark = incremental.high_water_mark(lake.read(table), "staging_processed_at")
         staged = incremental.newer_than(staged, "staging_processed_at", mark, again=True)
-    lines = intermediate.refine_transactions(staged, ctx)
-    lake.upsert_lines(table, lines, ["line_item_key"], "transaction_date", profiles.IntermediateLayer())
+    lines = lake.like_stored(table, intermediate.refine_transactions(staged, ctx))
+    lake.upsert_lines(table, lines, ["line_item_key"], "transaction_date", layer)
 
 
 def model(lake: Lake, ctx: RunContext) -> None:

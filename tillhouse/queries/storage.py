@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.context import DEFAULT as CTX
-from tillhouse.operators import incremental
+from tillhouse.operators import drift, incremental
 from tillhouse.operators.streams import flatten_items
 from tillhouse.plans.inputs import Warehouse
 from tillhouse.queries.registry import query
@@ -141,3 +143,24 @@ def drf1(spark, sf):
     log = spark.read.parquet(f"{area}/log")
     counted = sinks.read_table(spark, f"{area}/customer").agg(F.count("c_mktsegment").alias("rows"))
     return log.crossJoin(counted).select("*", F.lit(runs[0]).alias("first_run"), F.lit(runs[1]).alias("second_run"))
+
+
+@query("drf1_drift_by_kind")
+def drf1_kinds(spark, sf):
+    """Customers stored without a column, with a narrower key, with text for a number and with a column more; then in line."""
+    area, fresh = _area(spark), table(spark, sf, "customer")
+    stored = {
+        "added": fresh.drop("c_mktsegment"), "widened": fresh.withColumn("c_custkey", c("c_custkey").cast("int")),
+        "incompatible": fresh.withColumn("c_acctbal", c("c_acctbal").cast("string")), "removed": fresh.withColumn("c_phone", F.lit("1")), "same": fresh,
+    }
+    parts = []
+    for kind, held in stored.items():
+        path = f"{area}/{kind}"
+        held.write.parquet(path)
+        for _ in range(2):  # the second time there is nothing to do
+            drift.reconcile(spark, path, kind, fresh.schema, lambda p=path: sinks.overwrite_table(fresh, p), f"{area}/log", CTX.now, CTX.batch_id)
+        now = sinks.read_table(spark, path).select(*fresh.columns)
+        sums = now.agg(F.count("*").alias("rows"), F.sum("c_custkey").alias("keys"), F.count("c_mktsegment").alias("segments"), F.count("c_acctbal").alias("balances"))
+        parts.append(sums.select(F.lit(kind).alias("model_name"), "*"))
+    log = spark.read.parquet(f"{area}/log").select("model_name", "log_id", "reconciliation_method")
+    return reduce(DataFrame.unionByName, parts).join(log, "model_name", "left")

@@ -14,11 +14,13 @@ between is repeated with the same outcome.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillhouse.session import discard, materialise
 from tillhouse.sources import keyfilters
@@ -88,9 +90,31 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return current_path(spark, path) is not None
 
 
+SCHEMAS = "_schemas"
+
+
+def set_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Have readers take the table's present content with ``schema``: columns added since, and types widened since."""
+    numbers = finished_versions(spark, f"{path}/{SCHEMAS}")
+    row = [(schema.json(), (finished_versions(spark, path) or [0])[-1])]
+    df = spark.createDataFrame(row, "schema string, version long").coalesce(1)
+    df.write.mode("overwrite").parquet(f"{path}/{SCHEMAS}/v{(numbers[-1] if numbers else 0) + 1:06d}")
+
+
+def declared_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema put beside the table, if it was for its present version."""
+    numbers = finished_versions(spark, f"{path}/{SCHEMAS}")
+    if not numbers:
+        return None
+    row = spark.read.parquet(f"{path}/{SCHEMAS}/v{numbers[-1]:06d}").first()
+    return StructType.fromJson(json.loads(row["schema"])) if row["version"] == (finished_versions(spark, path) or [0])[-1] else None
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest finished version of a table, or a table without versions."""
-    return spark.read.parquet(current_path(spark, path) or path)
+    """The newest finished version of a table, or a table without versions, with the schema set for it, if any."""
+    schema = declared_schema(spark, path)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(current_path(spark, path) or path)
 
 
 def without_keys(df: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
