@@ -9,6 +9,6 @@ for _name in (
     "stg_customers", "stg_products", "stg_stores", "stg_transactions",
     "intmd_customers", "intmd_products", "intmd_stores", "intmd_transactions",
 ):
-    QUERIES[_name] = lambda spark, sf_dir, _n=_name: getattr(Warehouse(spark, sf_dir), _n)()
+    QUERIES[_name] = lambda spark, sf_dir, _n=_name: getattr(Warehouse(spark, sf_dir, whole=_n.endswith("_transactions")), _n)()
 for _name in ("customers", "products", "stores", "transactions"):
     QUERIES[f"raw_{_name}"] = lambda spark, sf_dir, _n=_name: Warehouse(spark, sf_dir).raw(_n)
