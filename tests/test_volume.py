@@ -77,3 +77,14 @@ def test_a_suite_stores_only_checked_columns(spark, monkeypatch):
     seen = stored_columns(monkeypatch, quality)
     entry.queries()["suite_fact_sales"](spark, SF_DIR)
     assert sorted(seen[0]) == ["data_quality_status", "is_refund", "line_profit", "line_total", "product_key", "sales_key", "transaction_id", "transaction_type"]
+
+
+def test_master_data_is_cleaned_by_more_tasks_than_its_file_has_row_groups(spark):
+    for name, key in (("customers", "c_custkey"), ("products", "p_partkey")):
+        assert f"hashpartitioning({key}" in plan(Warehouse(spark, SF_DIR).raw(name))
+
+
+def test_the_profile_stores_no_line_key(spark, monkeypatch):
+    seen = stored_columns(monkeypatch, relational)
+    entry.queries()["agg3_intermediate_profile"](spark, SF_DIR)
+    assert "line_item_key" not in seen[0] and {"transaction_id", "product_id"} <= set(seen[0])
