@@ -88,3 +88,11 @@ def test_the_profile_stores_no_line_key(spark, monkeypatch):
     seen = stored_columns(monkeypatch, relational)
     entry.queries()["agg3_intermediate_profile"](spark, SF_DIR)
     assert "line_item_key" not in seen[0] and {"transaction_id", "product_id"} <= set(seen[0])
+
+
+def test_daily_files_are_landed_without_shuffling_wide_lines(spark, monkeypatch):
+    from tillhouse.sources import sinks
+
+    moved = []
+    monkeypatch.setattr(sinks, "gathered", lambda df, partition: moved.append(partition) or df)
+    assert entry.queries()["src2_scan_daily_files"](spark, SF_DIR).count() > 0 and not moved

@@ -34,11 +34,14 @@ def src1(spark, sf):
 
 @query("src2_scan_daily_files")
 def src2(spark, sf):
-    """Raw lines landed in one folder per month, then read by a pattern."""
+    """Raw lines landed in one folder per month, then read by a pattern.
+
+    Every task lands its own lines: each goes to its folder once, and no wide line is shuffled for it.
+    """
     area = _area(spark)
     raw = standin.raw_transactions(spark, sf).withColumnRenamed("data_created_modified", "data_created/modified")
     month = F.date_format(F.col("`data_created/modified`"), "yyyy-MM")
-    sinks.gathered(raw.withColumn("month", month), "month").write.partitionBy("month").parquet(f"{area}/landing")
+    raw.withColumn("month", month).write.partitionBy("month").parquet(f"{area}/landing")
     back = files.scan_parquet_glob(spark, f"{area}/landing/month=*", schemas.RAW_TRANSACTIONS)
     return back.select("transaction_id", "product_id", "quantity", "data_created_modified")
 
