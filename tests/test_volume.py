@@ -96,3 +96,39 @@ def test_daily_files_are_landed_without_shuffling_wide_lines(spark, monkeypatch)
     moved = []
     monkeypatch.setattr(sinks, "gathered", lambda df, partition: moved.append(partition) or df)
     assert entry.queries()["src2_scan_daily_files"](spark, SF_DIR).count() > 0 and not moved
+
+
+def test_key_filters_shuffle_no_rows_and_sort_no_row_per_bit(spark):
+    from tillhouse.sources import keyfilters
+
+    rows = spark.createDataFrame([(f"k{i}" if i else None, i % 2 or None) for i in range(60)], "k string, p int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = keyfilters.key_filters(rows, ["k"], "p")
+        text = plan(built)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and text.count("Generate") == 1 and text.index("Generate") < text.index("partial_bitmap_construct_agg")
+    found = sorted((tuple(r) for r in built.select("p", "low", "high", "empty", F.bitmap_count("bits")).collect()), key=str)
+    at = [F.pmod(F.xxhash64(F.xxhash64("k"), F.lit(i)), F.lit(keyfilters.BLOCK_BITS)) for i in range(keyfilters.HASHES)]
+    each = rows.select("p", "k", F.explode(F.array(*at)).alias("at")).groupBy("p").agg(
+        F.min("k"), F.max("k"), F.bool_or(c("k").isNull()), F.countDistinct("at"))
+    assert found == sorted((tuple(r) for r in each.collect()), key=str)
+
+
+def test_an_upsert_asks_filters_only_where_key_ranges_meet(spark, monkeypatch, tmp_path):
+    from tillhouse.sources import keyfilters, sinks
+
+    asked, ask = [], keyfilters.partitions_named
+    monkeypatch.setattr(keyfilters, "partitions_named", lambda *a: asked.append(1) or ask(*a))
+    names, store = [], sinks.materialise
+    monkeypatch.setattr(sinks, "materialise", lambda df, name: names.append(name) or store(df, name))
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int, p string")
+    held = lambda: sorted((tuple(r) for r in spark.read.parquet(path).select("k", "v", "p").collect()), key=str)
+    path = f"{tmp_path}/t"
+    sinks.incremental_upsert(spark, path, frame([("a", 1, "x"), ("b", 1, "x"), (None, 1, "y")]), ["k"], "p", stored=True)
+    sinks.incremental_upsert(spark, path, frame([("m", 2, "z"), ("m", 3, "z")]), ["k"], "p", stored=True)
+    assert not asked and "upsert-batch" not in names
+    assert held() == sorted([("a", 1, "x"), ("b", 1, "x"), (None, 1, "y"), ("m", 2, "z"), ("m", 3, "z")], key=str)
+    sinks.incremental_upsert(spark, path, frame([("b", 4, "z"), (None, 4, "z"), ("m", 4, None)]), ["k"], "p")
+    assert asked == [1] and held() == sorted([("a", 1, "x"), ("b", 4, "z"), (None, 4, "z"), ("m", 4, None)], key=str)

@@ -89,8 +89,10 @@ def snk1(spark, sf):
     )
     before = c("staging_processed_at") < F.lit(str(CUT)).cast("timestamp_ntz")
     keys = ["transaction_id_clean", "product_id"]
-    for batch in (lines.where(before), lines.where(~before)):
-        sinks.incremental_upsert(spark, f"{area}/lines", batch, keys, "month")
+    lines.withColumn("first_load", before).write.partitionBy("first_load").parquet(f"{area}/loads")
+    loads = spark.read.schema(lines.schema.add("first_load", "boolean")).parquet(f"{area}/loads")
+    for batch in (loads.where("first_load"), loads.where("not first_load")):
+        sinks.incremental_upsert(spark, f"{area}/lines", batch.drop("first_load"), keys, "month", stored=True)
     return spark.read.parquet(f"{area}/lines")
 
 
