@@ -132,3 +132,22 @@ def test_an_upsert_asks_filters_only_where_key_ranges_meet(spark, monkeypatch, t
     assert held() == sorted([("a", 1, "x"), ("b", 1, "x"), (None, 1, "y"), ("m", 2, "z"), ("m", 3, "z")], key=str)
     sinks.incremental_upsert(spark, path, frame([("b", 4, "z"), (None, 4, "z"), ("m", 4, None)]), ["k"], "p")
     assert asked == [1] and held() == sorted([("a", 1, "x"), ("b", 4, "z"), (None, 4, "z"), ("m", 4, None)], key=str)
+
+
+def test_keys_travel_packed_and_come_back_whole(spark):
+    texts = ["900150983cd24fb0d6963f7d28e17f72", "900150983CD24FB0D6963F7D28E17F72", "kC1", "", None, "sixteen bytes ok", "Zoë", "0" * 33]
+    df = spark.createDataFrame([(t,) for t in texts], "k string").withColumn("p", marts.packed_key(c("k")))
+    out = df.select("k", marts.unpacked_key(c("p")).alias("back"), F.octet_length("p").alias("n")).collect()
+    assert all(r["k"] == r["back"] for r in out) and out[0]["n"] == 16 and all(r["n"] != 16 for r in out[1:])
+    day = dt.date(2001, 1, 1)
+    rows = [("k1", "t1", texts[0], day, 1.0, 1.0, 1, False), ("k1", "t1", "b", day, 2.0, 1.0, 1, False), (texts[0], "t2", "b", day, 3.0, 1.0, 1, False), ("k1", "t3", "x", day, 9.0, 1.0, 1, True)]
+    sold = spark.createDataFrame(rows, "product_key string, transaction_id string, customer_key string, transaction_date date, line_total double, line_profit double, quantity bigint, is_refund boolean")
+    totals = marts._totals(sold, "product_key")
+    assert sorted(tuple(r) for r in totals.select("product_key", "revenue_cents", "total_transactions", "buyers").collect()) == [(texts[0], 300, 1, 1), ("k1", 300, 1, 2)]
+    assert "hashpartitioning(product_key" not in plan(totals)
+
+
+def test_the_consistency_check_looks_up_and_stores_sales_only(spark, monkeypatch):
+    refunds = []
+    monkeypatch.setattr(relational, "materialise", lambda df, name: refunds.append(df.where("is_refund").count()) or materialise(df, name))
+    assert entry.queries()["mrt5_revenue_consistency"](spark, SF_DIR).first()["consistent"] and refunds == [0]
