@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import frame
 
@@ -209,6 +210,20 @@ def test_classifier_on_awkward_rows(spark, awkward, nothing):
     assert ordinal.train(nothing, labels).thresholds == [-np.inf, -np.inf]
 
 
+def test_features_are_made_of_few_texts_at_once():
+    texts = pa.array([f"Word{i} and, more! of it {i % 7} " * 4000 for i in range(100)] + [None, ""])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    runs = list(ordinal.parts(batch))
+    assert len(runs) > 2 and all(run.num_rows == 1 or sum(map(len, run.column("text").drop_null().to_pylist())) <= 4 << 20 for run in runs)
+    rows, places = ordinal.features(ordinal.whole(texts))
+    together, start = [], 0
+    for run in runs:
+        r, p = ordinal.features(ordinal.whole(run.column("text")))
+        together += zip((r + start).tolist(), p.tolist())
+        start += run.num_rows
+    assert together == list(zip(rows.tolist(), places.tolist()))
+
+
 def test_gradient_of_the_ordinal_loss():
     rng = np.random.default_rng(1)
     grades = rng.integers(0, 3, 400)

@@ -34,9 +34,16 @@ GRADES = 3
 ROUNDS, RATE, PENALTY = 120, 0.5, 2e-4
 #: Features summed up at once while fitting.
 RUN = 1 << 20
+#: Bytes of text whose features are made at once: a feature takes some tens of bytes in arrays, a text far more than its own.
+FEATURE_BYTES = 4 << 20
 TAIL = ".,;:!?*#$%&|"
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose features are made together."""
+    return slices(batch, limit=FEATURE_BYTES)
+
+
 def shape_features(texts: pa.Array, counts: np.ndarray, distinct: np.ndarray) -> list[list[str]]:
     """What a text looks like, in steps."""
     chars = np.maximum(np.asarray(pc.utf8_length(texts)).astype(np.int64), 1)
@@ -156,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in parts(batch):
                 rows, places = features(whole(part.column("text")))
                 cuts = np.searchsorted(rows, np.arange(1, part.num_rows))
                 packed = [x.astype("<u4").tobytes() for x in np.split(places, cuts)]
@@ -180,8 +187,8 @@ def score_udf(docs: DataFrame, model: OrdinalModel):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        parts = [sent.value.scores(whole(part.column("text"))) for part in slices(batch)]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+        scores = [sent.value.scores(whole(part.column("text"))) for part in parts(batch)]
+        return pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
 
     return score
 
