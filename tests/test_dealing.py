@@ -77,3 +77,10 @@ def test_dealt_lines_meet_the_same_dimension_rows(spark):
     found = marts.star_lookup(dedup.dealt_by_product(lines, c("transaction_id_clean"), c("product_id")), *dims)
     assert found.columns == want.columns and rows_of(found) == rows_of(want)
     assert found.where("product_key = 'khot'").count() == 40
+
+
+def test_days_of_the_revenue_mart_are_counted_once(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(marts, "materialise", lambda df, name: names.append(name) or materialise(df, name))
+    out = entry.queries()["mrt1_revenue_performance"](spark, SF_DIR)
+    assert "daily-sales" in names and "lineitem" not in plan(out) and out.count() > 0
