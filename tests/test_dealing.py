@@ -48,6 +48,13 @@ def test_whole_lines_are_not_shuffled_by_store(spark):
     assert "SortMergeJoin [_product" in text and text.count("SortMergeJoin [customer_id") == 1
 
 
+def test_lookups_that_nobody_reads_are_dropped(spark):
+    text = plan(entry.queries()["mrt4_customer_metrics"](spark, SF_DIR))
+    assert "part.parquet" not in text and "p_partkey" not in text and "s_suppkey" not in text and "customer_id" in text
+    sold = Warehouse(spark, SF_DIR).fact().select("sales_key", "line_profit")
+    assert "c_custkey" not in plan(sold) and "p_partkey" in plan(sold)
+
+
 def staged(spark):
     """Copies and rivals of lines; one product has most of them, some lines lack an id."""
     line = lambda t, p, n, raw=None, refund=False: (t, p, raw or t, AT, refund, AT + dt.timedelta(n % 3), n, 1.0 * n, 2.0, 3.0, "C1", f"S{n}")
