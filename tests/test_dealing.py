@@ -91,3 +91,17 @@ def test_days_of_the_revenue_mart_are_counted_once(spark, monkeypatch):
     monkeypatch.setattr(marts, "materialise", lambda df, name: names.append(name) or materialise(df, name))
     out = entry.queries()["mrt1_revenue_performance"](spark, SF_DIR)
     assert "daily-sales" in names and "lineitem" not in plan(out) and out.count() > 0
+
+
+def test_line_keys_are_counted_packed(spark):
+    keys = ["0" * 32, "A" * 32, None, "k1", "k1", ""]
+    rows = [(AT, f"t{i // 2}", f"p{i}", k, 1.0, 1) for i, k in enumerate(keys)]
+    lines = spark.createDataFrame(rows, "profile_date timestamp_ntz, transaction_id string, product_id string, line_item_key string, total_amount double, w bigint")
+    unique, _ = profiles.IntermediateLayer().per_transaction(lines)
+    assert "unhex" in plan(unique) and tuple(unique.first()) == (AT, 5, 3)
+
+
+def test_what_is_stored_on_the_way_is_packed_tightly(spark):
+    stored = materialise(spark.range(10), "tight")
+    (file,) = glob.glob(f"{stored.scratch}/*.parquet".replace("file:", ""))[:1]
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
