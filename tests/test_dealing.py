@@ -101,6 +101,13 @@ def test_line_keys_are_counted_packed(spark):
     assert "unhex" in plan(unique) and tuple(unique.first()) == (AT, 5, 3)
 
 
+def test_uniqueness_is_counted_over_packed_keys(spark):
+    keys = ["ab" * 16, "AB" * 16, "ab" * 16, "", "", None, None, "x"]
+    df = spark.createDataFrame([(k, i % 2) for i, k in enumerate(keys)], "k string, m int")
+    out = q.run_checks(df, [q.unique("k"), q.unique("k", "m")], AT)
+    assert "unhex" in plan(out) and {r["check"]: r["failures"] for r in out.collect()} == {"unique(k)": 2, "unique(k, m)": 1}
+
+
 def test_what_is_stored_on_the_way_is_packed_tightly(spark):
     stored = materialise(spark.range(10), "tight")
     (file,) = glob.glob(f"{stored.scratch}/*.parquet".replace("file:", ""))[:1]
